@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from millrace.plans import listings, retail, reviews, scalars, weather  # noqa: F401
+from millrace.plans import dimension, listings, rates, retail, reviews, scalars, weather  # noqa: F401
 from millrace.plans.registry import QUERIES  # noqa: F401
