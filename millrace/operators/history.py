@@ -16,52 +16,49 @@ def start_history(df: DataFrame, stamp: str = "update_timestamp") -> DataFrame:
     return df.withColumnRenamed(stamp, "start_time").withColumns({"end_time": open_end(), "is_current": F.lit(True)})
 
 
-def _intervals(images: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """End and current flag from the key's next start; images are distinct on (keys, start_time)."""
-    nxt = next_time_in_key(images, keys, "start_time", "_next")
-    return nxt.withColumn("end_time", F.coalesce("_next", open_end())).withColumn("is_current", F.col("_next").isNull()).drop("_next")
-
-
 def scd2_changes(
     changes: DataFrame, history: DataFrame, keys: Sequence[str], columns: Sequence[str], now: Column, stamp: str = "update_timestamp"
 ) -> DataFrame:
     """Change rows as history actions: ``I`` adds a version, ``U`` closes one, ``D`` closes one for good.
 
-    Inserted and updated rows get their interval from the key's next start. Open versions of updated keys
-    take part in that as ``U`` rows without attributes, which gives them their end. Only a strictly later start closes an
-    open version, so applying the same change rows twice changes nothing.
+    Inserted and updated rows get their interval from the key's next start, each kind on its own time line.
+    Open versions of updated keys stand on the second line as ``U`` rows without attributes, which gives
+    them their end. Only a strictly later start closes an open version, so applying the same change rows
+    twice changes nothing. ``changes`` is read several times: pass rows that are stored.
     """
     keys, columns = list(keys), list(columns)
-    inserted = changes.where("action = 'INSERT'").withColumnRenamed(stamp, "start_time")
-    layout = [*keys, *columns, "start_time", "end_time", "is_current", "dml_type"]
-
-    fresh = first_per_key(inserted.where("not is_update").select(*keys, *columns, "start_time"), [*keys, "start_time"], [])
-    plain = _intervals(fresh, keys).withColumn("dml_type", F.lit("I")).select(*layout)
-
-    images = first_per_key(inserted.where("is_update").select(*keys, *columns, "start_time"), [*keys, "start_time"], [])
-    updated_keys = changes.where("action = 'DELETE' and is_update").select(*keys).distinct()
-    opened = history.where("is_current").join(updated_keys, keys, "left_semi").select(*keys, "start_time").distinct()
-    # a new image and an open version with the same start are one point on the key's time line
-    points = (
-        images.select(*keys, *columns, "start_time", F.lit(True).alias("_new"))
-        .join(opened.withColumn("_open", F.lit(True)), [*keys, "start_time"], "full_outer")
-    )
-    lines = _intervals(points, keys)
-    news = lines.where("_new").withColumn("dml_type", F.lit("I")).select(*layout)
+    point = [*keys, "start_time"]
     nothing = [F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in columns]
-    closes = lines.where("_open and not is_current").select(
-        *keys, *nothing, "start_time", "end_time", F.lit(False).alias("is_current"), F.lit("U").alias("dml_type")
+
+    # which open versions the batch touches: one row per key, small before and after the shuffle
+    is_delete = F.col("action") == "DELETE"
+    touched = changes.groupBy(*keys).agg(
+        F.coalesce(F.bool_or(is_delete & F.col("is_update")), F.lit(False)).alias("_updated"),
+        F.coalesce(F.bool_or(is_delete & ~F.col("is_update")), F.lit(False)).alias("_deleted"),
     )
+    opened = history.where("is_current").select(*point).join(touched.where("_updated or _deleted"), keys)
 
-    deleted_keys = changes.where("action = 'DELETE' and not is_update").select(*keys).distinct()
-    gone = (
-        history.where("is_current")
-        .join(deleted_keys, keys, "left_semi")
-        .select(
-            *keys, *nothing, "start_time", now.alias("end_time"), F.lit(None).cast("boolean").alias("is_current"), F.lit("D").alias("dml_type")
-        )
+    images = changes.where("action = 'INSERT'").select(
+        *keys, F.col(stamp).alias("start_time"), F.col("is_update").alias("_line"), F.struct(*columns).alias("_image"), F.lit(False).alias("_open")
+    )
+    images = first_per_key(images, [*point, "_line"], [])
+    marks = opened.where("_updated").select(
+        *point, F.lit(True).alias("_line"), F.lit(None).cast(images.schema["_image"].dataType).alias("_image"), F.lit(True).alias("_open")
+    )
+    # an image and an open version with the same start are one point on the key's line
+    points = images.unionByName(marks).groupBy(*point, "_line").agg(
+        F.first("_image", ignorenulls=True).alias("_image"), F.bool_or("_open").alias("_open")
+    )
+    lines = next_time_in_key(points, [*keys, "_line"], "start_time", "_next")
+    ends = {"end_time": F.coalesce("_next", open_end()), "is_current": F.col("_next").isNull()}
+    lines = lines.withColumns(ends)
+    rest = ["start_time", "end_time", "is_current"]
+    new = lines.where("_image is not null").select(*keys, "_image.*", *rest, F.lit("I").alias("dml_type"))
+    closes = lines.where("_open and not is_current").select(*keys, *nothing, *rest, F.lit("U").alias("dml_type"))
+    gone = opened.where("_deleted").select(
+        *keys, *nothing, "start_time", now.alias("end_time"), F.lit(None).cast("boolean").alias("is_current"), F.lit("D").alias("dml_type")
     )
-    return plain.unionByName(news).unionByName(closes).unionByName(gone).distinct()
+    return new.unionByName(closes).unionByName(gone).distinct()
 
 
 def apply_scd2(history: DataFrame, classified: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import shared_root
+from millrace.session import stored
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -53,8 +53,7 @@ def next_time_in_key(df: DataFrame, keys: Sequence[str], ts: str, name: str, pie
 
 def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Rows range-partitioned by ``order`` with their partition number, written once so that it stays fixed."""
-    shared_root(df.sparkSession)
-    return df.repartitionByRange(*order).withColumn("_place", F.spark_partition_id()).checkpoint()
+    return stored(df.repartitionByRange(*order).withColumn("_place", F.spark_partition_id()))
 
 
 def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], weight: Column, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ from millrace.operators.merge import (
 )
 from millrace.plans.registry import query
 from millrace.plans.tables import table
-from millrace.session import new_folder
+from millrace.session import new_folder, stored
 from millrace.sources.versions import VersionedTable
 
 KEY = ["customer_id"]
@@ -64,7 +64,8 @@ def staged_customers(spark, sf_dir) -> DataFrame:
 
 
 def staging(spark, sf_dir) -> DataFrame:
-    return latest_per_key(staged_customers(spark, sf_dir), KEY, [F.desc("load_seq")]).drop("load_seq")
+    """One row per customer, stored as a staging table is: the merge reads it more than once."""
+    return stored(latest_per_key(staged_customers(spark, sf_dir), KEY, [F.desc("load_seq")]).drop("load_seq"))
 
 
 def merged(spark, sf_dir, null_safe: bool = False) -> DataFrame:
@@ -77,7 +78,8 @@ def after_removal(spark, sf_dir) -> DataFrame:
 
 
 def changes(spark, sf_dir) -> DataFrame:
-    return diff_snapshots(customers(spark, sf_dir), after_removal(spark, sf_dir), KEY)
+    """The change rows, stored as a change stream is: the history reads them more than once."""
+    return stored(diff_snapshots(customers(spark, sf_dir), after_removal(spark, sf_dir), KEY))
 
 
 def history(spark, sf_dir) -> DataFrame:
@@ -95,7 +97,7 @@ def classified(spark, sf_dir) -> DataFrame:
 
 
 def history_after(spark, sf_dir) -> DataFrame:
-    return apply_scd2(history(spark, sf_dir), classified(spark, sf_dir), KEY)
+    return apply_scd2(history(spark, sf_dir), stored(classified(spark, sf_dir)), KEY)
 
 
 def _shown(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -54,3 +54,9 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh folder below the shared root; nothing is created until Spark writes there."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame written to the checkpoint folder: later uses read it back instead of computing it again."""
+    shared_root(df.sparkSession)
+    return df.checkpoint()
