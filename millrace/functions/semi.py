@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Without these, JSON text keeps only milliseconds.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 HOURLY_DOCUMENT = (
     "map<string, struct<hourly: struct<"
     "time: array<string>, temperature_2m: array<double>, precipitation: array<double>, "
@@ -62,6 +68,11 @@ def hourly_rows(df: DataFrame, text: str) -> DataFrame:
     )
 
 
+def row_json(*columns: Column | str) -> Column:
+    """The columns as one JSON text, times with microseconds."""
+    return F.to_json(F.struct(*columns), JSON_TIMES)
+
+
 def as_json(df: DataFrame, name: str = "value") -> DataFrame:
     """Each row as one JSON text column."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(name))
+    return df.select(row_json(*df.columns).alias(name))

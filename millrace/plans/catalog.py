@@ -1,4 +1,15 @@
 """All registered queries."""
 
-from millrace.plans import dimension, listings, rates, retail, reviews, scalars, weather  # noqa: F401
+from millrace.plans import (  # noqa: F401
+    dimension,
+    listings,
+    loads,
+    pages,
+    rates,
+    retail,
+    reviews,
+    scalars,
+    streams,
+    weather,
+)
 from millrace.plans.registry import QUERIES  # noqa: F401

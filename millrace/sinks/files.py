@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.semi import JSON_TIMES, row_json
 from millrace.functions.times import hour_parts
 from millrace.operators.ordered import with_identity
 
@@ -16,7 +17,7 @@ def write_csv(df: DataFrame, folder: str, index_by: Sequence[str] | None = None,
     if index_by is not None:
         numbered = with_identity(df, index_by, "index", after=-1)
         df = numbered.select("index", *df.columns)
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(folder)
+    df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"').csv(folder)
 
 
 def write_parquet(df: DataFrame, folder: str, rows_per_file: int = 5_000_000, compact: bool = False) -> None:
@@ -46,16 +47,18 @@ def write_hourly_json(df: DataFrame, folder: str, ts: Column) -> None:
     parts = hour_parts(ts)
     (
         df.withColumns(parts)
+        .hint("rebalance", *parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
+        .options(**JSON_TIMES)
         .json(folder)
     )
 
 
 def keyed_messages(df: DataFrame, key: str) -> DataFrame:
     """Rows as ``key`` and JSON ``value``, the layout a topic takes."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select(F.col(key).cast("string").alias("key"), row_json(*df.columns).alias("value"))
 
 
 def publish(df: DataFrame, key: str, sink: str, options: Mapping[str, str]) -> None:

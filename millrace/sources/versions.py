@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOG_SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp"
 
@@ -30,13 +31,20 @@ class VersionedTable:
                 raise
             return self.spark.createDataFrame([], _LOG_SCHEMA)
 
-    def _last(self):
-        return self.log().orderBy(F.desc("seq")).first()
-
-    def _note(self, version: int | None, action: str, batch: str | None = None) -> None:
-        last = self._last()
+    def _state(self, batch: str | None = None):
+        """What the log says, in one row however long it is."""
+        lives = F.col("version").isNotNull()
+        return self.log().agg(
+            F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
+            F.coalesce(F.max("version"), F.lit(-1)).alias("newest"),
+            F.max_by("version", "seq").alias("current"),
+            F.max_by("version", F.when(lives, F.col("seq"))).alias("last_alive"),
+            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("has_batch"),
+        ).first()
+
+    def _note(self, seq: int, version: int | None, action: str, batch: str | None = None) -> None:
         line = self.spark.range(1).select(
-            F.lit(0 if last is None else last.seq + 1).cast("bigint").alias("seq"),
+            F.lit(seq).cast("bigint").alias("seq"),
             F.lit(version).cast("bigint").alias("version"),
             F.lit(action).alias("action"),
             F.lit(batch).cast("string").alias("batch"),
@@ -45,20 +53,19 @@ class VersionedTable:
         line.coalesce(1).write.mode("append").json(f"{self.folder}/commits")
 
     def current_version(self) -> int | None:
-        last = self._last()
-        return None if last is None else last.version
+        return self._state().current
 
     def has_batch(self, batch: str) -> bool:
-        return not self.log().where(F.col("batch") == batch).isEmpty()
+        return self._state(batch).has_batch
 
     def commit(self, df: DataFrame, action: str = "write", batch: str | None = None) -> int:
         """Write the next version and point to it. A batch that was committed before is left alone."""
-        known = [r.version for r in self.log().where("version is not null").select("version").distinct().collect()]
-        if batch is not None and self.has_batch(batch):
-            return self.current_version()
-        version = max(known, default=-1) + 1
+        state = self._state(batch)
+        if state.has_batch:
+            return state.current
+        version = state.newest + 1
         df.write.mode("overwrite").parquet(f"{self.folder}/data/_version={version}")
-        self._note(version, action, batch)
+        self._note(state.seq + 1, version, action, batch)
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -69,14 +76,14 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.folder}/data/_version={chosen}")
 
     def drop(self) -> None:
-        self._note(None, "drop")
+        self._note(self._state().seq + 1, None, "drop")
 
     def undrop(self) -> None:
-        before = self.log().where("version is not null").orderBy(F.desc("seq")).first()
-        self._note(before.version, "undrop")
+        state = self._state()
+        self._note(state.seq + 1, state.last_alive, "undrop")
 
     def restore(self, version: int) -> None:
-        self._note(version, "restore")
+        self._note(self._state().seq + 1, version, "restore")
 
 
 def overwrite_partitions(df: DataFrame, folder: str, keys: Sequence[str]) -> None:
@@ -114,6 +121,6 @@ class HistoryTable:
 
     def read(self) -> DataFrame:
         opened = self.open_rows()
-        schema = opened.schema.simpleString()[len("struct<") : -1]
-        closed = self.spark.read.schema(f"{schema},closed_in:string").parquet(self.closed_folder).drop("closed_in")
+        schema = T.StructType([*opened.schema.fields, T.StructField("closed_in", T.StringType())])
+        closed = self.spark.read.schema(schema).parquet(self.closed_folder).drop("closed_in")
         return opened.unionByName(closed)
