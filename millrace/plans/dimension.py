@@ -31,7 +31,7 @@ from millrace.operators.merge import (
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder, stored
-from millrace.sources.versions import VersionedTable
+from millrace.sources.versions import BucketedTable, VersionedTable
 
 KEY = ["customer_id"]
 FIELDS = ["name", "nation_id", "balance", "segment"]
@@ -201,6 +201,16 @@ def _(spark, sf_dir):
     return target.read().withColumn("left_in_staging", left)
 
 
+@query("scd1_merge_buckets", "TBL-11 TBL-19", f"WITH {_merged_sql(False)} SELECT * FROM merged")
+def _(spark, sf_dir):
+    # only the buckets that staged keys fall into are read and rewritten
+    target, staged = customers(spark, sf_dir), staging(spark, sf_dir)
+    dim = BucketedTable(spark, new_folder(spark, "dim-buckets"), target.schema, KEY, buckets=16)
+    dim.replace(target)
+    dim.change(staged, lambda rows: merge_scd1(rows, staged, KEY, FIELDS, ntz(MERGED)))
+    return dim.read()
+
+
 # ---------------------------------------------------------------- change rows
 
 

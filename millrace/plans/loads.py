@@ -10,7 +10,16 @@ from pyspark.sql import functions as F
 from millrace.functions.semi import row_json
 from millrace.functions.text import path_value
 from millrace.functions.times import hour_parts
-from millrace.operators.quality import expect_count, log_stage, read_log, run_summary, split_valid, watch_load
+from millrace.operators.quality import (
+    expect_count,
+    log_stage,
+    missing_tables,
+    read_log,
+    run_summary,
+    same_schema,
+    split_valid,
+    watch_load,
+)
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
@@ -31,6 +40,7 @@ from millrace.sources.files import (
     skip_bad_files,
     with_batch,
 )
+from millrace.sources.tables import create_database, save_table
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 _HEADLESS_PIPE = DelimitedFormat(separator="|", header=False)
@@ -227,6 +237,21 @@ def _(spark, sf_dir):
     return external.where("c_mktsegment = 'BUILDING'")
 
 
+@query("catalog_table", "SRC-21 SNK-02 SNK-11 DQ-02 TBL-01", "SELECT c_custkey, c_name FROM customer UNION ALL SELECT -s_suppkey, s_name FROM supplier")
+def _(spark, sf_dir):
+    database = f"shop_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, new_folder(spark, "database"))
+    name = f"{database}.people"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for _attempt in range(2):
+        save_table(customers, name, replace=True)
+    suppliers = table(spark, sf_dir, "supplier").select((-F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"))
+    save_table(suppliers, name, replace=False)
+    if missing_tables(spark, [name]) or not same_schema(spark.table(name), customers.schema):
+        raise LookupError(f"{name} was not made as asked")
+    return spark.table(name)
+
+
 # ---------------------------------------------------------------- checks and reports
 
 

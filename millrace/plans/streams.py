@@ -17,8 +17,7 @@ from millrace.plans.tables import SCHEMAS, table
 from millrace.plans.weather import STATS_SQL, ticks
 from millrace.session import new_folder
 from millrace.sources.files import list_staged
-from millrace.sources.versions import HistoryTable, VersionedTable
-from millrace.streaming.dimension import maintaining
+from millrace.streaming.dimension import dimension_tables, maintaining
 from millrace.streaming.ingest import (
     BATCH,
     batch_sink,
@@ -27,6 +26,7 @@ from millrace.streaming.ingest import (
     drain,
     file_sink,
     file_stream,
+    keep_running,
     newest_batch,
     quarantining,
     replacing,
@@ -204,12 +204,24 @@ def _(spark, sf_dir):
     f"""WITH {_AFTER.replace('AND balance < 0', 'AND FALSE')} SELECT * REPLACE ({_END}) FROM hist_after WHERE name NOT LIKE '% old'""",
 )
 def _(spark, sf_dir):
-    landing, dim, past, mark = (new_folder(spark, n) for n in ("landing", "dim", "history", "mark"))
+    landing, dim, mark = (new_folder(spark, n) for n in ("landing", "dimension", "mark"))
     first = customers(spark, sf_dir).withColumnRenamed("update_timestamp", "loaded_at")
     second = staged_customers(spark, sf_dir).withColumn("loaded_at", F.when(F.col("load_seq") == 1, ntz(LOADED)).otherwise(ntz(MERGED))).drop("load_seq")
-    current, history = VersionedTable(spark, dim), HistoryTable(spark, past)
+    current, history = dimension_tables(spark, dim, first.select(*KEY, *FIELDS).schema, KEY, buckets=8)
     for part in (first, second):
         part.write.mode("append").json(landing)
         stream = file_stream(spark, landing, first.schema)
         drain(batch_sink(stream, maintaining(current, history, KEY, FIELDS)), mark)
-    return history.read().withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss")).select(*KEY, *FIELDS, "start_time", "end_time", "is_current")
+    return history.read().withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("stream_timed_rotation", "STM-07 SNK-09 STM-04", TICKS_SQL)
+def _(spark, sf_dir):
+    # small files by time and by record count, as an object-store connector rotates them
+    landing, main, mark = (new_folder(spark, n) for n in ("landing", "rotated", "mark"))
+    _write_ticks(ticks(spark, sf_dir), landing)
+    sink = file_sink(file_stream(spark, landing, _TICK), main, "json", rows_per_file=10_000)
+    running = keep_running(sink, mark, every="1 second")
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(_TICK).json(main)

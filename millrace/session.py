@@ -57,6 +57,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The frame written to the checkpoint folder: later uses read it back instead of computing it again."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+    """The frame written to the shared folder and read back, for results that are used more than once.
+
+    Lineage ends at the files, columns can be pruned again, and Spark knows the true size for its joins.
+    """
+    folder = new_folder(df.sparkSession, "stored")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

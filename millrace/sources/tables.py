@@ -47,8 +47,9 @@ def save_table(df: DataFrame, name: str, replace: bool) -> None:
     df.write.mode("overwrite" if replace else "append").saveAsTable(name)
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, folder: str | None = None) -> None:
+    """Database, if it is missing; its tables go below ``folder`` when one is given."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}" + (f" LOCATION '{folder}'" if folder else ""))
 
 
 def create_table(spark: SparkSession, name: str, columns: str) -> None:

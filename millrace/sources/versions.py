@@ -1,48 +1,60 @@
-"""Tables kept as whole versions, and tables of which only touched partitions are rewritten.
+"""Tables that can change: whole versions, hash buckets of which only touched ones are rewritten, row history.
 
-A versioned table is a folder with ``data/_version=N`` Parquet folders and a ``commits`` log of one line
-per commit. Nothing is moved or deleted: dropping and restoring are log lines. A failed write leaves a
-version folder no log line points to. One writer at a time.
+Nothing is moved or deleted by hand and every write goes through Spark's own commit, so lost executors only
+cost a task retry. What a table consists of is said by a log of one line per commit. One writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOG_SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp"
+from millrace.operators.history import apply_scd2
+from millrace.session import stored
 
 
-class VersionedTable:
+class CommitLog:
+    """One line per commit: sequence number, version in force after it (null = none), action, batch."""
+
+    SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp"
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.folder = folder
 
-    def log(self) -> DataFrame:
-        """Commit log: sequence number, the version in force after it (null = dropped), action, batch."""
+    def read(self) -> DataFrame:
         try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(f"{self.folder}/commits")
+            return self.spark.read.schema(self.SCHEMA).json(self.folder)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _LOG_SCHEMA)
-
-    def _state(self, batch: str | None = None):
-        """What the log says, in one row however long it is."""
-        lives = F.col("version").isNotNull()
-        return self.log().agg(
-            F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
-            F.coalesce(F.max("version"), F.lit(-1)).alias("newest"),
-            F.max_by("version", "seq").alias("current"),
-            F.max_by("version", F.when(lives, F.col("seq"))).alias("last_alive"),
-            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("has_batch"),
-        ).first()
-
-    def _note(self, seq: int, version: int | None, action: str, batch: str | None = None) -> None:
+            return self.spark.createDataFrame([], self.SCHEMA)
+
+    def state(self, action: str = "", batch: str | None = None):
+        """What the log says, as one row however long it is; ``done`` tells whether the action (any, if empty) ran for the batch."""
+        alive = F.col("version").isNotNull()
+        same = (F.col("batch") == F.lit(batch)) & ((F.lit(action) == "") | (F.col("action") == action))
+        return (
+            self.read()
+            .coalesce(1)
+            .agg(
+                F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
+                F.coalesce(F.max("version"), F.lit(-1)).alias("newest"),
+                F.max_by("version", "seq").alias("current"),
+                F.max_by("version", F.when(alive, F.col("seq"))).alias("last_alive"),
+                F.coalesce(F.bool_or(same), F.lit(False)).alias("done"),
+            )
+            .first()
+        )
+
+    def has(self, action: str) -> bool:
+        return not self.read().where(F.col("action") == action).isEmpty()
+
+    def note(self, seq: int, action: str, version: int | None = None, batch: str | None = None) -> None:
         line = self.spark.range(1).select(
             F.lit(seq).cast("bigint").alias("seq"),
             F.lit(version).cast("bigint").alias("version"),
@@ -50,40 +62,53 @@ class VersionedTable:
             F.lit(batch).cast("string").alias("batch"),
             F.current_timestamp().alias("at"),
         )
-        line.coalesce(1).write.mode("append").json(f"{self.folder}/commits")
+        line.coalesce(1).write.mode("append").json(self.folder)
+
+
+class VersionedTable:
+    """A folder with one Parquet folder per version. Dropping and restoring are log lines.
+
+    Every commit writes the whole table: meant for tables that are replaced or looked at as of earlier
+    versions. For small batches into a large table use ``BucketedTable``.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.log = CommitLog(spark, f"{self.folder}/commits")
 
-    def current_version(self) -> int | None:
-        return self._state().current
+    def _data(self, version: int) -> str:
+        return f"{self.folder}/data/_version={version}"
 
     def has_batch(self, batch: str) -> bool:
-        return self._state(batch).has_batch
+        return self.log.state(batch=batch).done
 
     def commit(self, df: DataFrame, action: str = "write", batch: str | None = None) -> int:
         """Write the next version and point to it. A batch that was committed before is left alone."""
-        state = self._state(batch)
-        if state.has_batch:
+        state = self.log.state(batch=batch)
+        if state.done:
             return state.current
         version = state.newest + 1
-        df.write.mode("overwrite").parquet(f"{self.folder}/data/_version={version}")
-        self._note(state.seq + 1, version, action, batch)
+        df.write.mode("overwrite").parquet(self._data(version))
+        self.log.note(state.seq + 1, action, version, batch)
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table now, or as it was at an earlier version."""
-        chosen = self.current_version() if version is None else version
+        chosen = self.log.state().current if version is None else version
         if chosen is None:
             raise LookupError(f"{self.folder} is dropped or was never written")
-        return self.spark.read.parquet(f"{self.folder}/data/_version={chosen}")
+        return self.spark.read.parquet(self._data(chosen))
 
     def drop(self) -> None:
-        self._note(self._state().seq + 1, None, "drop")
+        self.log.note(self.log.state().seq + 1, "drop")
 
     def undrop(self) -> None:
-        state = self._state()
-        self._note(state.seq + 1, state.last_alive, "undrop")
+        state = self.log.state()
+        self.log.note(state.seq + 1, "undrop", state.last_alive)
 
     def restore(self, version: int) -> None:
-        self._note(self._state().seq + 1, version, "restore")
+        self.log.note(self.log.state().seq + 1, "restore", version)
 
 
 def overwrite_partitions(df: DataFrame, folder: str, keys: Sequence[str]) -> None:
@@ -91,36 +116,99 @@ def overwrite_partitions(df: DataFrame, folder: str, keys: Sequence[str]) -> Non
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(folder)
 
 
-class HistoryTable:
-    """Row history as a versioned table of open rows and, beside it, closed rows by the batch that closed them.
+class BucketedTable:
+    """Rows in ``_bucket=N`` folders by key hash. A change reads and rewrites only the buckets its keys fall into.
 
-    A batch reads and rewrites only the open rows; what earlier batches closed is never touched again.
+    Choose ``buckets`` so that one bucket is a few gigabytes. Each written bucket carries one hidden row, so that a
+    bucket whose rows are all gone is replaced too.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.opened = VersionedTable(spark, f"{folder.rstrip('/')}/open")
-        self.closed_folder = f"{folder.rstrip('/')}/closed"
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str], buckets: int):
+        self.spark, self.keys, self.buckets, self.schema = spark, list(keys), buckets, schema
+        self.folder = f"{folder.rstrip('/')}/rows"
+        self.log = CommitLog(spark, f"{folder.rstrip('/')}/commits")
+        self._stored = T.StructType([*schema.fields, T.StructField("_live", T.BooleanType()), T.StructField("_bucket", T.IntegerType())])
 
     def started(self) -> bool:
-        return self.opened.current_version() is not None
+        return self.log.has("replace all")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Bucket numbers of the rows' keys: at most ``buckets`` integers."""
+        return [r[0] for r in rows.select(self._bucket()).distinct().collect()]
+
+    def read(self, only: Sequence[int] | None = None) -> DataFrame:
+        """The table, or some of its buckets (other folders are not listed as input)."""
+        rows = self.spark.read.schema(self._stored).parquet(self.folder).where("_live")
+        rows = rows if only is None else rows.where(F.col("_bucket").isin(*only))
+        return rows.select(*self.schema.names)
+
+    def replace(self, rows: DataFrame, only: Sequence[int] | None = None) -> None:
+        """Put the rows in place of the given (by default all) buckets. Their source must not be this folder unless stored.
 
-    def write(self, history: DataFrame, batch: str) -> None:
-        """Write what a batch made of the open rows. Repeating a batch changes nothing.
+        A bucket may take a third of the rows: the rebalance lets AQE split it over several files.
+        """
+        hidden = self.spark.createDataFrame([(b,) for b in (range(self.buckets) if only is None else only)], "_bucket int")
+        hidden = hidden.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema], F.lit(False).alias("_live"), "_bucket")
+        live = rows.select(*self.schema.names).withColumns({"_live": F.lit(True), "_bucket": self._bucket()})
+        overwrite_partitions(live.unionByName(hidden).hint("rebalance", "_bucket"), self.folder, ["_bucket"])
+        if only is None:
+            self.log.note(self.log.state().seq + 1, "replace all")
+
+    def change(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite the buckets of the batch's keys with what ``merge`` makes of their rows.
 
-        Closed rows go first, into a folder of the batch's own; the commit of the open rows ends the batch.
+        The new rows are stored before the buckets are replaced, as they are made from them.
         """
-        if self.opened.has_batch(batch):
-            return
-        closed = history.where("not is_current").withColumn("closed_in", F.lit(batch))
-        overwrite_partitions(closed, self.closed_folder, ["closed_in"])
-        self.opened.commit(history.where("is_current"), "history", batch)
+        only = self.touched(batch)
+        if only:
+            self.replace(stored(merge(self.read(only))), only)
+
+
+class HistoryTable:
+    """Row history: open rows in buckets, closed rows in a folder of the batch that closed them.
 
-    def open_rows(self) -> DataFrame:
-        return self.opened.read()
+    A batch reads and rewrites the open rows of its own buckets; rows closed by earlier batches are never touched.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str], buckets: int):
+        self.spark, self.keys, self.schema = spark, list(keys), schema
+        self.opened = BucketedTable(spark, f"{folder.rstrip('/')}/open", schema, keys, buckets)
+        self.closed_folder = f"{folder.rstrip('/')}/closed"
+        self.log = CommitLog(spark, f"{folder.rstrip('/')}/commits")
+
+    def start(self, history: DataFrame, batch: str) -> None:
+        self._write(history.select(*self.schema.names), None, batch)
+
+    def advance(self, classified: DataFrame, batch: str) -> None:
+        """Apply a batch of classified changes (stored, as they are read several times)."""
+        only = self.opened.touched(classified)
+        if only:
+            self._write(stored(apply_scd2(self.opened.read(only), classified, self.keys)), only, batch)
+
+    def has_batch(self, batch: str) -> bool:
+        return self.log.state("open", batch).done
+
+    def started(self) -> bool:
+        return self.log.has("open")
+
+    def _write(self, after: DataFrame, only: Sequence[int] | None, batch: str) -> None:
+        """Closed rows first. A retry keeps them: part of the open rows may have moved on since."""
+        closed = self.log.state("closed", batch)
+        seq = closed.seq
+        if not closed.done:
+            overwrite_partitions(after.where("not is_current").withColumn("closed_in", F.lit(batch)), self.closed_folder, ["closed_in"])
+            seq += 1
+            self.log.note(seq, "closed", batch=batch)
+        self.opened.replace(after.where("is_current"), only)
+        self.log.note(seq + 1, "open", batch=batch)
+
+    def open_rows(self, only: Sequence[int] | None = None) -> DataFrame:
+        return self.opened.read(only)
 
     def read(self) -> DataFrame:
-        opened = self.open_rows()
-        schema = T.StructType([*opened.schema.fields, T.StructField("closed_in", T.StringType())])
-        closed = self.spark.read.schema(schema).parquet(self.closed_folder).drop("closed_in")
-        return opened.unionByName(closed)
+        with_batch = T.StructType([*self.schema.fields, T.StructField("closed_in", T.StringType())])
+        closed = self.spark.read.schema(with_batch).parquet(self.closed_folder).drop("closed_in")
+        return self.open_rows().unionByName(closed)

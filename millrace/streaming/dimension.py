@@ -6,22 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.operators.history import apply_scd2, scd2_changes, start_history
+from millrace.operators.history import scd2_changes, start_history
 from millrace.operators.merge import latest_per_key, merge_changes, merge_scd1
 from millrace.session import stored
-from millrace.sources.versions import HistoryTable, VersionedTable
+from millrace.sources.versions import BucketedTable, HistoryTable
 from millrace.streaming.ingest import BatchWriter
 
+_TIMES = [T.StructField(n, T.TimestampNTZType()) for n in ("start_time", "end_time")]
 
-def maintaining(
-    current: VersionedTable, history: HistoryTable, keys: Sequence[str], columns: Sequence[str], stamp: str = "update_timestamp"
-) -> BatchWriter:
+
+def dimension_tables(spark, folder: str, fields: T.StructType, keys: Sequence[str], buckets: int) -> tuple[BucketedTable, HistoryTable]:
+    """Current table and history of a dimension with the given key and attribute fields."""
+    current = T.StructType([*fields.fields, T.StructField("update_timestamp", T.TimestampNTZType())])
+    history = T.StructType([*fields.fields, *_TIMES, T.StructField("is_current", T.BooleanType())])
+    return (
+        BucketedTable(spark, f"{folder}/current", current, keys, buckets),
+        HistoryTable(spark, f"{folder}/history", history, keys, buckets),
+    )
+
+
+def maintaining(current: BucketedTable, history: HistoryTable, keys: Sequence[str], columns: Sequence[str]) -> BatchWriter:
     """Batch writer: type-1 merge into ``current``, and the same changes into ``history``.
 
     Rows carry ``loaded_at``; the newest row per key wins, and the greatest ``loaded_at`` is the time of
-    the batch. It comes from the data, so a repeated batch stamps the same time. History is
-    written before the current table: a retry finds the same changes and both writes skip what is done.
+    the batch. It comes from the data, so a repeated batch stamps the same time. History goes first: a
+    retry then still finds the same changes, the history skips what it has, and the merge finds rows that
+    are already merged unchanged.
     """
 
     def write(df: DataFrame, batch_no: int) -> None:
@@ -30,16 +42,16 @@ def maintaining(
             return
         batch = f"batch-{batch_no}"
         now = staged.agg(F.max("loaded_at")).scalar()
-        if current.current_version() is None:
-            first = staged.select(*keys, *columns, now.alias(stamp))
-            history.write(start_history(first, stamp), batch)
-            current.commit(first, "load", batch)
+        first = staged.select(*keys, *columns, now.alias("update_timestamp"))
+        if not history.started():
+            history.start(start_history(first), batch)
+        if not current.started():
+            current.replace(first)
             return
-        if not history.opened.has_batch(batch):
-            changes = stored(merge_changes(current.read(), staged, keys, columns, now, stamp))
-            classified = stored(scd2_changes(changes, history.open_rows(), keys, columns, now, stamp))
-            history.write(apply_scd2(history.open_rows(), classified, keys), batch)
-        if not current.has_batch(batch):
-            current.commit(merge_scd1(current.read(), staged, keys, columns, now, stamp), "merge", batch)
+        only = current.touched(staged)
+        if not history.has_batch(batch):
+            changes = stored(merge_changes(current.read(only), staged, keys, columns, now))
+            history.advance(stored(scd2_changes(changes, history.open_rows(only), keys, columns, now)), batch)
+        current.change(staged, lambda rows: merge_scd1(rows, staged, keys, columns, now))
 
     return write
