@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.times import open_end
 from millrace.operators.ordered import first_per_key, next_time_in_key
+from millrace.session import stored
 
 
 def start_history(df: DataFrame, stamp: str = "update_timestamp") -> DataFrame:
@@ -24,7 +25,10 @@ def scd2_changes(
     Inserted and updated rows get their interval from the key's next start, each kind on its own time line.
     Open versions of updated keys stand on the second line as ``U`` rows without attributes, which gives
     them their end. Only a strictly later start closes an open version, so applying the same change rows
-    twice changes nothing. ``changes`` is read several times: pass rows that are stored.
+    twice changes nothing.
+
+    The open history is read once, and what the batch touches of it is stored; ``changes`` is read several
+    times, so pass rows that are stored.
     """
     keys, columns = list(keys), list(columns)
     point = [*keys, "start_time"]
@@ -36,7 +40,7 @@ def scd2_changes(
         F.coalesce(F.bool_or(is_delete & F.col("is_update")), F.lit(False)).alias("_updated"),
         F.coalesce(F.bool_or(is_delete & ~F.col("is_update")), F.lit(False)).alias("_deleted"),
     )
-    opened = history.where("is_current").select(*point).join(touched.where("_updated or _deleted"), keys)
+    opened = stored(history.where("is_current").select(*point).join(touched.where("_updated or _deleted"), keys))
 
     images = changes.where("action = 'INSERT'").select(
         *keys, F.col(stamp).alias("start_time"), F.col("is_update").alias("_line"), F.struct(*columns).alias("_image"), F.lit(False).alias("_open")
@@ -50,15 +54,18 @@ def scd2_changes(
         F.first("_image", ignorenulls=True).alias("_image"), F.bool_or("_open").alias("_open")
     )
     lines = next_time_in_key(points, [*keys, "_line"], "start_time", "_next")
-    ends = {"end_time": F.coalesce("_next", open_end()), "is_current": F.col("_next").isNull()}
-    lines = lines.withColumns(ends)
+    versions = lines.withColumns({"end_time": F.coalesce("_next", open_end()), "is_current": F.col("_next").isNull()})
+    blank = F.struct(*nothing)
+    actions = F.array(
+        F.when(F.col("_image").isNotNull(), F.struct(F.lit("I").alias("dml_type"), F.col("_image").alias("_row"))),
+        F.when(F.col("_open") & ~F.col("is_current"), F.struct(F.lit("U").alias("dml_type"), blank.alias("_row"))),
+    )
     rest = ["start_time", "end_time", "is_current"]
-    new = lines.where("_image is not null").select(*keys, "_image.*", *rest, F.lit("I").alias("dml_type"))
-    closes = lines.where("_open and not is_current").select(*keys, *nothing, *rest, F.lit("U").alias("dml_type"))
+    on_lines = versions.select(*keys, *rest, F.inline(F.array_compact(actions))).select(*keys, "_row.*", *rest, "dml_type")
     gone = opened.where("_deleted").select(
         *keys, *nothing, "start_time", now.alias("end_time"), F.lit(None).cast("boolean").alias("is_current"), F.lit("D").alias("dml_type")
     )
-    return new.unionByName(closes).unionByName(gone).distinct()
+    return on_lines.unionByName(gone).distinct()
 
 
 def apply_scd2(history: DataFrame, classified: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from millrace.functions.times import ntz
 from millrace.operators.history import apply_scd2, scd2_changes, start_history, unstamped_updates
 from millrace.operators.merge import any_changed, delete_where, diff_snapshots, merge_changes, merge_scd1, update_where
 from millrace.operators.ordered import next_time_in_key
+from millrace.session import stored
 from millrace.sources.versions import BucketedTable, HistoryTable, VersionedTable
 from millrace.streaming.dimension import dimension_tables, maintaining
 
@@ -22,7 +23,8 @@ END = datetime(9999, 12, 31)
 
 
 def step(history, before, after, now):
-    return apply_scd2(history, scd2_changes(diff_snapshots(before, after, KEY), history, KEY, COLS, F.lit(now).cast("timestamp_ntz")), KEY)
+    changes = stored(diff_snapshots(before, after, KEY))
+    return stored(apply_scd2(history, stored(scd2_changes(changes, history, KEY, COLS, F.lit(now).cast("timestamp_ntz"))), KEY))
 
 
 def intervals(history):
@@ -84,7 +86,7 @@ def test_several_versions_in_one_batch(spark):
 table_state = st.dictionaries(st.integers(0, 5), st.sampled_from(["a", "b", None]), max_size=5)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(states=st.lists(table_state, min_size=2, max_size=3))
 def test_replayed_changes_rebuild_the_table(spark, states):
     stamps, frames, seen = {}, [], {}
