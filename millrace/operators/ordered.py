@@ -51,24 +51,23 @@ def next_time_in_key(df: DataFrame, keys: Sequence[str], ts: str, name: str, pie
     )
 
 
-def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows range-partitioned by ``order`` with their partition number, written once so that it stays fixed."""
+def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows range-partitioned by ``order`` with their partition number in ``_place``, stored so that it stays fixed."""
     return stored(df.repartitionByRange(*order).withColumn("_place", F.spark_partition_id()))
 
 
-def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], weight: Column, name: str) -> DataFrame:
-    """Running sum of ``weight`` inside each group, in the given (distinct) order."""
-    placed = _placed(df.withColumn("_weight", weight), [*groups, *order])
-    per_place = placed.groupBy(*groups, "_place").agg(F.sum("_weight").alias("_sum"))
+def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], weight: str, name: str) -> DataFrame:
+    """Running sum of ``weight`` inside each group in the given (distinct) order, of rows ``placed`` by groups and order."""
+    per_place = df.groupBy(*groups, "_place").agg(F.sum(weight).alias("_sum"))
     # one row per range partition and group that touches it
     earlier = Window.partitionBy(*groups).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_place.select(*groups, "_place", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*groups, "_place").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.withColumn("_inside", F.sum("_weight").over(inside))
+        df.withColumn("_inside", F.sum(weight).over(inside))
         .join(offsets, [*groups, "_place"])
         .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop("_place", "_weight", "_inside", "_offset")
+        .drop("_place", "_inside", "_offset")
     )
 
 
@@ -78,8 +77,8 @@ def with_identity(df: DataFrame, order: Sequence[str], name: str = "id", after:
     ``after`` is the greatest id given out so far, as a number or a scalar subquery over the target table.
     """
     first = after if isinstance(after, Column) else F.lit(after)
-    placed = _placed(df, order)
-    counts = placed.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"))
+    rows = placed(df, order)
+    counts = rows.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition, so this window stays small
     offsets = counts.select(
         "_place",
@@ -89,7 +88,7 @@ def with_identity(df: DataFrame, order: Sequence[str], name: str = "id", after:
     )
     inside = F.row_number().over(Window.partitionBy("_place").orderBy(*order))
     return (
-        placed.withColumn("_inside", inside)
+        rows.withColumn("_inside", inside)
         .join(offsets, "_place")
         .withColumn(name, (first + F.col("_offset") + F.col("_inside")).cast("bigint"))
         .drop("_place", "_inside", "_offset")

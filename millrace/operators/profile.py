@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import as_double
-from millrace.operators.ordered import running_total
+from millrace.operators.ordered import placed, running_total
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -24,20 +24,21 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Values are counted first, then ranked by a running total over range partitions; nothing is
     approximated and no task holds a whole column.
     """
-    histogram = _long_form(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    n_rows = histogram.groupBy("column_name").agg(F.sum("n").alias("n_rows"))
-    known = histogram.where("value is not null")
-    ranked = running_total(known, ["column_name"], ["value"], F.col("n"), "upto")
+    counted = _long_form(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # a null value weighs nothing in the ranking but counts as a row
+    counted = counted.withColumn("known", F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.col("n")))
+    histogram = placed(counted, ["column_name", "value"])
     x = F.col("value")
-    weight = F.col("n").cast("double")
-    basic = ranked.groupBy("column_name").agg(
-        F.sum("n").alias("n_values"),
-        F.sum(x * weight).alias("_sum"),
+    weight = F.col("known").cast("double")
+    mean = histogram.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("known").alias("n_values"),
+        F.try_divide(F.sum(x * weight), F.sum("known")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
+    ranked = running_total(histogram, ["column_name"], ["value"], "known", "upto").where("value is not null")
     # deviation around the mean, in a second pass over the counted values, keeps the digits a sum of squares loses
-    mean = basic.select("column_name", "n_values", "min", "max", (F.col("_sum") / F.col("n_values")).alias("mean"))
     joined = ranked.join(F.broadcast(mean), "column_name")  # one row per profiled column
     picks = []
     for name, p in QUARTILES.items():
@@ -46,18 +47,10 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         high = F.min(F.when(F.col("upto") > F.ceil(at), x))
         frac = F.max(at - F.floor(at))
         picks.append((low + (high - low) * frac).alias(name))
-    out = joined.groupBy("column_name").agg(
-        F.max("n_values").alias("n_values"),
-        F.max("mean").alias("mean"),
-        F.sqrt(F.try_divide(F.sum(weight * (x - F.col("mean")) * (x - F.col("mean"))), F.max("n_values") - 1)).alias("stddev"),
-        F.max("min").alias("min"),
-        *picks,
-        F.max("max").alias("max"),
-    )
-    rounded = [F.round(as_double(F.col(c)), 4).alias(c) for c in ("mean", "stddev", "min", *QUARTILES, "max")]
-    return n_rows.join(out, "column_name", "left").select(
-        "column_name", "n_rows", F.coalesce("n_values", F.lit(0)).cast("bigint").alias("n_values"), *rounded
-    )
+    spread = F.sum(weight * (x - F.col("mean")) * (x - F.col("mean")))
+    out = joined.groupBy("column_name").agg(F.sqrt(F.try_divide(spread, F.max("n_values") - 1)).alias("stddev"), *picks)
+    figures = [F.round(as_double(F.col(c)), 4).alias(c) for c in ("mean", "stddev", "min", *QUARTILES, "max")]
+    return mean.join(out, "column_name", "left").select("column_name", "n_rows", "n_values", *figures)
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
