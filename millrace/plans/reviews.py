@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from millrace.functions.numbers import as_double
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
-from millrace.sinks.files import narrow, write_clustered, write_parquet, write_partitioned
+from millrace.sinks.files import narrow, save_distributed, write_clustered, write_parquet, write_partitioned
 from millrace.sources.files import read_partitioned
+from millrace.sources.tables import create_database
 
 REVIEW_SCHEMA = (
     "product_id bigint, order_id bigint, star_rating int, helpful_votes int, total_votes int, vine string, "
@@ -69,6 +72,24 @@ def _(spark, sf_dir):
     return spark.read.schema(REVIEW_SCHEMA).parquet(folder)
 
 
+def _bucketed_reviews(spark, sf_dir, database: str) -> DataFrame:
+    create_database(spark, database, new_folder(spark, "reviews-db"))
+    save_distributed(_reviews(spark, sf_dir), f"{database}.reviews", "product_id", "year", 8)
+    return spark.table(f"{database}.reviews")
+
+
+@query(
+    "votes_per_product",
+    "TBL-19 AGG-07",
+    """SELECT l_partkey AS product_id, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS votes, CAST(max(year(l_shipdate)) AS BIGINT) AS last_year
+       FROM lineitem GROUP BY l_partkey""",
+)
+def _(spark, sf_dir):
+    # distributed by product, so this sum runs without a shuffle
+    reviews = _bucketed_reviews(spark, sf_dir, f"reviews_{uuid.uuid4().hex[:8]}")
+    return reviews.groupBy("product_id").agg(F.sum("helpful_votes").alias("votes"), F.max("year").alias("last_year"))
+
+
 def review_report(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Average rating, helpful votes and review count per category and title.
 

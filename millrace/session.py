@@ -34,20 +34,14 @@ def shared_root(spark: SparkSession) -> str:
 
     A private folder is made up only for a local master, where driver and executors share one disk.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
         return named
-    already_set = spark.sparkContext.getCheckpointDir()
-    if already_set:
-        return already_set
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(_local_roots[app])
     return _local_roots[app]
 
 
