@@ -44,14 +44,15 @@ def merge_scd1(
     staging: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    now: Column,
+    now: Column | None = None,
     stamp: str = "update_timestamp",
     null_safe: bool = False,
 ) -> DataFrame:
     """Target with changed rows overwritten and stamped, new rows added, identical rows left alone.
 
-    ``staging`` holds one row per key (see ``latest_per_key``).
+    ``staging`` holds one row per key (see ``latest_per_key``); ``now`` is the query's own time unless given.
     """
+    now = F.localtimestamp() if now is None else now
     new = staging.select(*keys, F.struct(*columns).alias("_new"))
     matched = target.join(new, list(keys), "left")
     changed = F.col("_new").isNotNull() & any_changed([(F.col(c), F.col(f"_new.{c}")) for c in columns], null_safe)

@@ -21,13 +21,13 @@ def _cell(value: Column | str) -> Column:
 
 
 def _grid_pages(spark, sf_dir) -> DataFrame:
-    """One page per part: a header row, a full row, a row with nine cells."""
+    """One page per part: a menu table, then a listing with a header row, a full row and a row with nine cells."""
     part = table(spark, sf_dir, "part")
     full = [F.lit("*"), F.col("p_partkey").cast("string"), F.concat(F.col("p_name"), F.lit(" &amp; co"))]
     full += [F.col("p_size").cast("string"), F.lit("1"), F.lit("2"), F.lit("3"), F.col("p_type"), F.col("p_brand"), F.lit("")]
     row = F.concat(F.lit("<tr>"), *[_cell(c) for c in full], F.lit("</tr>"))
     short = F.concat(F.lit("<tr>"), *[_cell(c) for c in full[:9]], F.lit("</tr>"))
-    html = F.concat(F.lit("<html><body><p>x<table class='cmc-table'><tr><th>#</th></tr>"), row, short, F.lit("</table></body>"))
+    html = F.concat(F.lit("<html><body><table><tr><td>menu</td></tr></table><p>x<table class='wide coins'><tr><th>#</th></tr>"), row, short, F.lit("</table></body>"))
     return part.select(F.col("p_partkey").alias("page_no"), html.alias("html"))
 
 
@@ -39,7 +39,7 @@ def _grid_pages(spark, sf_dir) -> DataFrame:
        '' AS circulating_supply FROM part""",
 )
 def _(spark, sf_dir):
-    return grid_rows(_grid_pages(spark, sf_dir), "html", GRID_COLUMNS)
+    return grid_rows(_grid_pages(spark, sf_dir), "html", GRID_COLUMNS, table="table.coins")
 
 
 @query(

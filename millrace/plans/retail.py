@@ -227,9 +227,9 @@ def _region_products(spark, sf_dir, exact: Column, *columns: str) -> DataFrame:
 @query(
     "top10_products_by_region",
     "WIN-01",
-    f"""WITH {_STAR}, cte AS (SELECT region, product_id, SUM(cost_price) AS cost FROM retail GROUP BY region, product_id)
-        SELECT region, product_id, CAST(cost AS DOUBLE) AS cost, CAST(rn AS INTEGER) AS rn FROM (
-          SELECT *, row_number() OVER (PARTITION BY region ORDER BY cost DESC, product_id) AS rn FROM cte) WHERE rn <= 10""",
+    f"""WITH {_STAR} SELECT region, product_id, CAST(SUM(cost_price) AS DOUBLE) AS cost,
+          CAST(row_number() OVER (PARTITION BY region ORDER BY SUM(cost_price) DESC, product_id) AS INTEGER) AS rn
+        FROM retail GROUP BY region, product_id QUALIFY rn <= 10""",
 )
 def _(spark, sf_dir):
     # quantities are summed per region and product before the unit cost is joined: far fewer rows meet the part table
@@ -243,10 +243,10 @@ def _(spark, sf_dir):
 @query(
     "top5_products_by_region",
     "WIN-02 SRT-03",
-    f"""WITH {_STAR} SELECT region, product_id, CAST(total AS DOUBLE) AS total_sales FROM (
-          SELECT region, product_id, SUM(sale_price) AS total,
-                 row_number() OVER (PARTITION BY region ORDER BY SUM(sale_price) DESC, product_id) AS rn
-          FROM priced GROUP BY region, product_id) WHERE rn <= 5 ORDER BY region, total_sales DESC""",
+    f"""WITH {_STAR} SELECT region, product_id, CAST(SUM(sale_price) AS DOUBLE) AS total_sales FROM priced
+        GROUP BY region, product_id
+        QUALIFY row_number() OVER (PARTITION BY region ORDER BY SUM(sale_price) DESC, product_id) <= 5
+        ORDER BY region, total_sales DESC""",
 )
 def _(spark, sf_dir):
     sales = _region_products(spark, sf_dir, sale_price(), "list_price", "discount_percent")

@@ -125,7 +125,7 @@ def _(spark, sf_dir):
 
 @query("review_report_export", "SNK-04", _REPORT_SQL)
 def _(spark, sf_dir):
-    folder = new_folder(spark, "topreviews")
+    folder = new_folder(spark, "review-report")
     report = _report(spark, sf_dir)
     write_parquet(report, folder)
     return spark.read.schema(report.schema).parquet(folder)

@@ -95,13 +95,13 @@ def _parse(html: str) -> _Element:
     return page.root
 
 
-def _table(root: _Element, label: str | None) -> _Element | None:
-    """First table of the page, or the first one after the span with the given text."""
+def _table(root: _Element, label: str | None, table: str) -> _Element | None:
+    """First matching table of the page, or the first one after the span with the given text."""
     waiting = label is not None
     for found in root.walk():
         if waiting:
             waiting = not (found.tag == "span" and found.text() == label)
-        elif found.tag == "table":
+        elif found.matches(table):
             return found
     return None
 
@@ -110,12 +110,12 @@ def _table(root: _Element, label: str | None) -> _Element | None:
 class TableRows:
     """Rows of a page's table, cells stripped; header cells count as cells only in header rows."""
 
-    def eval(self, html: str, label: str, data_cells_only: bool):
-        table = _table(_parse(html), label)
-        if table is None:
+    def eval(self, html: str, label: str, data_cells_only: bool, table: str):
+        found = _table(_parse(html), label, table)
+        if found is None:
             return
         kinds = {"td"} if data_cells_only else {"td", "th"}
-        for number, row in enumerate(r for r in table.walk() if r.tag == "tr"):
+        for number, row in enumerate(r for r in found.walk() if r.tag == "tr"):
             yield number, [c.text() for c in row.children if isinstance(c, _Element) and c.tag in kinds]
 
 
@@ -149,16 +149,19 @@ def _spread(pages: DataFrame) -> DataFrame:
     return pages.repartition(cores) if len(pages.inputFiles()) < cores else pages
 
 
-def table_rows(pages: DataFrame, html: str, label: str | None = None, data_cells_only: bool = True) -> DataFrame:
-    """Each page's table rows beside the page's other columns; with a label, the table that follows it."""
+def table_rows(pages: DataFrame, html: str, label: str | None = None, data_cells_only: bool = True, table: str = "table") -> DataFrame:
+    """Each page's table rows beside the page's other columns; with a label, the table that follows it.
+
+    ``table`` may name a class too, such as ``table.wide``.
+    """
     marker = F.lit(label).cast("string")
-    rows = TableRows(F.col(html).outer(), marker, F.lit(data_cells_only))
+    rows = TableRows(F.col(html).outer(), marker, F.lit(data_cells_only), F.lit(table))
     return _spread(pages).lateralJoin(rows).drop(html)
 
 
-def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1) -> DataFrame:
+def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1, table: str = "table") -> DataFrame:
     """Data rows of each page's first table: all but the header row that have every wanted cell."""
-    cells = table_rows(pages, html).where(F.col("row_no") > 0).where(F.size("cells") >= first + len(names))
+    cells = table_rows(pages, html, table=table).where(F.col("row_no") > 0).where(F.size("cells") >= first + len(names))
     keep = [c for c in pages.columns if c != html]
     return cells.select(*keep, *[F.col("cells")[first + i].alias(name) for i, name in enumerate(names)])
 

@@ -183,7 +183,10 @@ class HistoryTable:
         self._write(history.select(*self.schema.names), None, batch)
 
     def advance(self, classified: DataFrame, batch: str) -> None:
-        """Apply a batch of classified changes (stored, as they are read several times)."""
+        """Apply a batch of classified changes (stored, as they are read several times).
+
+        Only open rows are matched. New versions start at the batch's own time, which no closed row has.
+        """
         only = self.opened.touched(classified)
         if only:
             self._write(stored(apply_scd2(self.opened.read(only), classified, self.keys)), only, batch)
