@@ -7,46 +7,44 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, exact_mean, exact_sum
+from millrace.functions.numbers import Amount, amount, as_double, in_units
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], exact: Column, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(exact_sum(exact).alias(name))
+def sum_by(df: DataFrame, keys: Sequence[str], what: Amount, name: str) -> DataFrame:
+    return df.groupBy(*keys).agg(what.sum().alias(name))
 
 
-def sum_grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], exact: Column, name: str) -> DataFrame:
+def sum_grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], what: Amount, name: str) -> DataFrame:
     """Sums over several key sets, with ``level`` (the grouping id) telling subtotals from real nulls.
 
     The finest sums are made first: the copy per grouping set then multiplies group rows, not input rows.
     """
-    finest = df.groupBy(*keys).agg(F.sum(exact).alias("_part"))
+    finest = df.groupBy(*keys).agg(what.total().alias("_part"))
     grouped = finest.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys])
-    return grouped.agg(exact_sum(F.col("_part")).alias(name), F.grouping_id().cast("int").alias("level"))
+    return grouped.agg(in_units(F.sum("_part"), what.digits).alias(name), F.grouping_id().cast("int").alias("level"))
 
 
-def conditional_sums(df: DataFrame, keys: Sequence[str], exact: Column, cases: Mapping[str, Column]) -> DataFrame:
+def conditional_sums(df: DataFrame, keys: Sequence[str], what: Amount, cases: Mapping[str, Column]) -> DataFrame:
     """One sum column per case; rows outside a case count as zero, so a group never shows null."""
-    sums = [
-        as_double(F.coalesce(F.sum(F.when(test, exact)), F.lit(0))).alias(name) for name, test in cases.items()
-    ]
+    sums = [F.coalesce(what.when(test).sum(), F.lit(0.0)).alias(name) for name, test in cases.items()]
     return df.groupBy(*keys).agg(*sums)
 
 
-def growth(df: DataFrame, key: str, exact: Column, year: Column, first: int, second: int) -> DataFrame:
+def growth(df: DataFrame, key: str, what: Amount, year: Column, first: int, second: int) -> DataFrame:
     """Sums of two years and their difference, per key."""
-    names = [f"sales_{first}", f"sales_{second}"]
-    part = [F.coalesce(F.sum(F.when(year == y, exact)), F.lit(0)).alias(n) for y, n in zip((first, second), names)]
-    sums = df.groupBy(key).agg(*part)
-    return sums.select(
-        key, *[as_double(F.col(n)).alias(n) for n in names], as_double(F.col(names[1]) - F.col(names[0])).alias("growth")
+    sums = {f"sales_{y}": F.coalesce(what.when(year == y).total(), F.lit(0)) for y in (first, second)}
+    totals = df.groupBy(key).agg(*[total.alias(name) for name, total in sums.items()])
+    before, after = (F.col(name) for name in sums)
+    return totals.select(
+        key, *[in_units(F.col(name), what.digits).alias(name) for name in sums], in_units(after - before, what.digits).alias("growth")
     )
 
 
-def price_stats(df: DataFrame, key: str, price: Column) -> DataFrame:
+def price_stats(df: DataFrame, key: str, price: str) -> DataFrame:
     """Count, mean, least and greatest price per key; the same code serves batch and stream."""
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        exact_mean(price).alias("avg_price"),
+        amount(price).mean().alias("avg_price"),
         as_double(F.min(price)).alias("min_price"),
         as_double(F.max(price)).alias("max_price"),
     )
@@ -67,9 +65,9 @@ def shares(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, "n", F.round(F.col("n") * F.lit(100) / total, 1).cast("double").alias("percent"))
 
 
-def mean_by(df: DataFrame, key: str, exact: Column, name: str) -> DataFrame:
+def mean_by(df: DataFrame, key: str, what: Amount, name: str) -> DataFrame:
     """Mean per non-null key over non-null values."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(exact_mean(exact).alias(name))
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(what.mean().alias(name))
 
 
 def occurring_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:

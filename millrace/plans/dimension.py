@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, money
+from millrace.functions.numbers import amount
 from millrace.functions.times import ntz
 from millrace.operators.history import (
     apply_scd2,
@@ -343,7 +343,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     folder = new_folder(spark, "inserted")
-    rows = customers(spark, sf_dir).select("customer_id", "name", as_double(money("balance")).alias("balance"))
+    rows = customers(spark, sf_dir).select("customer_id", "name", amount("balance").value().alias("balance"))
     rows.write.mode("append").parquet(folder)
     spark.createDataFrame([(223136, "Jessica Arnold", None)], rows.schema).coalesce(1).write.mode("append").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import money, rescale, round_half_even, round_half_up
+from millrace.functions.numbers import amount, rescale, round_half_even, round_half_up
 from millrace.functions.text import fill_zero, first_word, money_amount, split_fields, strip, to_number, unit_number
 from millrace.operators.aggregate import mean_by, shares, value_counts
 from millrace.operators.sampling import sample_fraction, sample_rows
@@ -46,7 +46,7 @@ def _(spark, sf_dir):
        FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand ORDER BY avg_price DESC, p_brand LIMIT 10""",
 )
 def _(spark, sf_dir):
-    return mean_by(_cars(spark, sf_dir), "p_brand", money("p_retailprice"), "avg_price").orderBy(F.desc("avg_price"), "p_brand").limit(10)
+    return mean_by(_cars(spark, sf_dir), "p_brand", amount("p_retailprice"), "avg_price").orderBy(F.desc("avg_price"), "p_brand").limit(10)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, exact_mean, money
+from millrace.functions.numbers import amount, as_double
 from millrace.functions.semi import at, flatten_object, flatten_variant, items, parse
 from millrace.functions.times import from_epoch_seconds, ntz, to_epoch_seconds
 from millrace.operators.merge import merge_insert_only
@@ -21,7 +21,7 @@ def rate_documents(spark, sf_dir) -> DataFrame:
     """One document per day, with the day's mean value per event type as rate; Sunday's arrive an hour late."""
     day = F.date_trunc("DAY", "ts").cast("timestamp_ntz")
     priced = table(spark, sf_dir, "events").groupBy(day.alias("day")).agg(
-        *[exact_mean(F.when(F.col("event_type") == c, money("value"))).alias(c) for c in _CURRENCIES]
+        *[amount("value").when(F.col("event_type") == c).mean().alias(c) for c in _CURRENCIES]
     )
     doc = F.to_json(F.struct(to_epoch_seconds(F.col("day")).alias("timestamp"), F.lit("USD").alias("base"), F.struct(*_CURRENCIES).alias("rates")))
     late = F.dayofweek("day") == 1
@@ -100,7 +100,7 @@ def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
 
     def daily(df):
-        return df.groupBy("o_custkey", "o_orderdate").agg(as_double(F.sum(money("o_totalprice"))).alias("total"))
+        return df.groupBy("o_custkey", "o_orderdate").agg(amount("o_totalprice").sum().alias("total"))
 
     main = daily(orders.where("o_orderstatus = 'F'"))
     return main.unionByName(merge_insert_only(main, daily(orders), ["o_custkey", "o_orderdate"]))
@@ -164,4 +164,4 @@ def _(spark, sf_dir):
     # no hint: Spark broadcasts the lookup while its files stay below the broadcast limit
     rates = _nation_rates(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
     joined = table(spark, sf_dir, "customer").join(rates, "c_nationkey")
-    return joined.select("c_custkey", "currency", as_double(F.round(money("c_acctbal") * F.col("rate"), 2)).alias("converted"))
+    return joined.select("c_custkey", "currency", as_double(F.round(F.col("c_acctbal").cast("decimal(18,2)") * F.col("rate"), 2)).alias("converted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, exact_sum, money
+from millrace.functions.numbers import Amount, amount, in_units
 from millrace.functions.text import equals_ignoring_case
 from millrace.operators.aggregate import conditional_sums, growth, sum_by, sum_grouping_sets
 from millrace.operators.ordered import top_n_per_group
@@ -19,15 +19,15 @@ _COLUMNS: dict[str, tuple[str, Column | str]] = {
     "order_id": ("lineitem", "l_orderkey"),
     "line_no": ("lineitem", "l_linenumber"),
     "product_id": ("lineitem", "l_partkey"),
-    "quantity": ("lineitem", "cast(l_quantity as decimal(12,2))"),
-    "list_price": ("lineitem", "cast(l_extendedprice as decimal(12,2))"),
-    "discount_percent": ("lineitem", "cast(round(l_discount * 100) as int)"),
+    "quantity": ("lineitem", "l_quantity"),
+    "list_price": ("lineitem", "l_extendedprice"),
+    "discount_percent": ("lineitem", "cast(rint(l_discount * 100) as int)"),
     "order_date": ("orders", "o_orderdate"),
     "state": ("nation", "n_name"),
     "region": ("region", "r_name"),
     "category": ("part", "p_type"),
     "sub_category": ("part", "p_brand"),
-    "unit_cost": ("part", "cast(p_retailprice as decimal(12,2))"),
+    "unit_cost": ("part", "p_retailprice"),
 }
 _ORDER_SIDE = {"orders": 0, "nation": 1, "region": 2}
 
@@ -57,17 +57,16 @@ def retail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*[F.expr(_COLUMNS[c][1]).alias(c) for c in columns])
 
 
-def discount() -> Column:
-    # price and rate are narrow enough for their product to fit a long, which keeps the decimals fast
-    return F.col("list_price") * (F.col("discount_percent") * F.lit(0.01)).cast("decimal(3,2)")
+def discount() -> Amount:
+    return amount("list_price").times(Amount(F.col("discount_percent"), 2))
 
 
-def sale_price() -> Column:
-    return F.col("list_price") - discount()
+def sale_price() -> Amount:
+    return amount("list_price").times(Amount(100 - F.col("discount_percent"), 2))
 
 
-def cost_price() -> Column:
-    return F.col("unit_cost") * F.col("quantity")
+def cost_price() -> Amount:
+    return amount("unit_cost").times(amount("quantity"))
 
 
 _STAR = """
@@ -100,12 +99,12 @@ def order_customer_totals(orders: DataFrame, customers: DataFrame, batch_id: str
     if batch_id is not None:
         orders, customers = (df.where(F.col("batch_id") == batch_id) for df in (orders, customers))
     wanted = orders.where(F.col("o_orderstatus") == status)
-    per_key = wanted.groupBy("batch_id", "o_custkey", "o_orderdate").agg(F.sum(money("o_totalprice")).alias("_part"))
+    per_key = wanted.groupBy("batch_id", "o_custkey", "o_orderdate").agg(amount("o_totalprice").total().alias("_part"))
     named = customers.select("batch_id", F.col("c_custkey").alias("o_custkey"), "c_name")
     return (
         per_key.join(named, ["batch_id", "o_custkey"])
         .groupBy("c_name", "o_orderdate", "batch_id")
-        .agg(exact_sum(F.col("_part")).alias("total_price"))
+        .agg(in_units(F.sum("_part"), 2).alias("total_price"))
     )
 
 
@@ -152,12 +151,8 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     df = retail(spark, sf_dir, "order_id", "line_no", "product_id", "list_price", "discount_percent", "unit_cost", "quantity")
-    priced = df.withColumns({"discount": discount(), "sale_price": sale_price(), "cost": cost_price()})
-    priced = priced.withColumn("profit", F.col("sale_price") - F.col("cost"))
-    return priced.select(
-        "order_id", "line_no", "product_id", "discount_percent",
-        *[as_double(F.col(c)).alias(c) for c in ("list_price", "discount", "sale_price", "profit")],
-    )
+    derived = {"discount": discount(), "sale_price": sale_price(), "profit": sale_price().minus(cost_price())}
+    return df.select("order_id", "line_no", "product_id", "discount_percent", "list_price", *[a.value().alias(n) for n, a in derived.items()])
 
 
 @query(
@@ -219,9 +214,9 @@ def _(spark, sf_dir):
     return sum_by(df, ["product_id"], sale_price(), "total_sales").orderBy(F.desc("total_sales"), "product_id")
 
 
-def _region_products(spark, sf_dir, exact: Column, *columns: str) -> DataFrame:
+def _region_products(spark, sf_dir, what: Amount, *columns: str) -> DataFrame:
     df = retail(spark, sf_dir, "region", "product_id", *columns)
-    return df.groupBy("region", "product_id").agg(F.sum(exact).alias("total"))
+    return df.groupBy("region", "product_id").agg(what.total().alias("total"))
 
 
 @query(
@@ -233,11 +228,11 @@ def _region_products(spark, sf_dir, exact: Column, *columns: str) -> DataFrame:
 )
 def _(spark, sf_dir):
     # quantities are summed per region and product before the unit cost is joined: far fewer rows meet the part table
-    sold = _region_products(spark, sf_dir, F.col("quantity"), "quantity")
-    unit = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").cast("decimal(12,2)").alias("unit_cost"))
-    costs = sold.join(unit, "product_id").select("region", "product_id", (F.col("total") * F.col("unit_cost")).alias("cost"))
+    sold = _region_products(spark, sf_dir, amount("quantity"), "quantity")
+    unit = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), amount("p_retailprice").units.alias("unit_cost"))
+    costs = sold.join(unit, "product_id").select("region", "product_id", (F.col("total").cast("decimal(18,0)") * F.col("unit_cost").cast("decimal(18,0)")).alias("cost"))
     top = top_n_per_group(costs, "region", [F.desc("cost"), F.asc("product_id")], 10)
-    return top.withColumn("cost", as_double(F.col("cost")))
+    return top.withColumn("cost", in_units(F.col("cost").cast("decimal(34,0)"), 4))
 
 
 @query(
@@ -251,7 +246,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     sales = _region_products(spark, sf_dir, sale_price(), "list_price", "discount_percent")
     top = top_n_per_group(sales, "region", [F.desc("total"), F.asc("product_id")], 5)
-    return top.select("region", "product_id", as_double(F.col("total")).alias("total_sales")).orderBy("region", F.desc("total_sales"), "product_id")
+    return top.select("region", "product_id", in_units(F.col("total"), 4).alias("total_sales")).orderBy("region", F.desc("total_sales"), "product_id")
 
 
 @query(
@@ -263,7 +258,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     df = retail(spark, sf_dir, "order_date", "list_price", "discount_percent")
     return df.groupBy(F.year("order_date").alias("order_year"), F.month("order_date").alias("order_month")).agg(
-        exact_sum(sale_price()).alias("sales")
+        sale_price().sum().alias("sales")
     )
 
 

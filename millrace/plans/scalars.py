@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, exact_mean, money
+from millrace.functions.numbers import amount, as_double
 from millrace.functions.semi import items
 from millrace.functions.text import (
     blank_sentinels,
@@ -38,7 +38,7 @@ def _(spark, sf_dir):
     "SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_price FROM orders",
 )
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(exact_mean(money("o_totalprice")).alias("avg_price"))
+    return table(spark, sf_dir, "orders").agg(amount("o_totalprice").mean().alias("avg_price"))
 
 
 @query(

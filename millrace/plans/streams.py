@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import money
 from millrace.functions.semi import JSON_TIMES, row_json
 from millrace.functions.text import move_path, path_value
 from millrace.functions.times import ntz
@@ -70,7 +69,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     landing, out, mark = (new_folder(spark, n) for n in ("landing", "stats", "mark"))
     _write_ticks(ticks(spark, sf_dir), landing)
-    stats = price_stats(file_stream(spark, landing, _TICK), "symbol", money("price"))
+    stats = price_stats(file_stream(spark, landing, _TICK), "symbol", "price")
     drain(batch_sink(stats, replacing(out), "complete"), mark)
     return newest_batch(spark, out, stats.schema)
 

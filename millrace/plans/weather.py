@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import as_double, exact_mean, exact_sum, money, round_half_up
+from millrace.functions.numbers import amount, as_double, round_half_up
 from millrace.functions.semi import hourly_rows
 from millrace.operators.aggregate import price_stats
 from millrace.plans.registry import query
@@ -19,14 +19,14 @@ def weather_label(rain: Column, mean_temp: Column) -> Column:
 
 def daily_summary(hourly: DataFrame) -> DataFrame:
     """One row per city and day; all cities in one job. Rain over only-null readings is 0, as pandas sums."""
-    t, rain, wind, damp = (money(c) for c in ("temperature", "precipitation", "windspeed", "humidity"))
+    t, rain, wind, damp = (amount(c, 4) for c in ("temperature", "precipitation", "windspeed", "humidity"))
     daily = hourly.groupBy("city", F.to_date("datetime").alias("date")).agg(
-        round_half_up(exact_mean(t), 2).alias("avg_temp_c"),
-        as_double(F.max(t)).alias("max_temp_c"),
-        as_double(F.min(t)).alias("min_temp_c"),
-        F.coalesce(exact_sum(rain), F.lit(0.0)).alias("total_precip_mm"),
-        round_half_up(exact_mean(wind), 2).alias("avg_windspeed"),
-        round_half_up(exact_mean(damp), 1).alias("avg_humidity"),
+        round_half_up(t.mean(), 2).alias("avg_temp_c"),
+        round_half_up(as_double(F.max("temperature")), 2).alias("max_temp_c"),
+        round_half_up(as_double(F.min("temperature")), 2).alias("min_temp_c"),
+        round_half_up(F.coalesce(rain.sum(), F.lit(0.0)), 2).alias("total_precip_mm"),
+        round_half_up(wind.mean(), 2).alias("avg_windspeed"),
+        round_half_up(damp.mean(), 1).alias("avg_humidity"),
     )
     return daily.withColumn("weather_label", weather_label(F.col("total_precip_mm"), F.col("avg_temp_c")))
 
@@ -35,10 +35,10 @@ def city_report(daily: DataFrame) -> DataFrame:
     """Second-level figures per city, and how many days had each label."""
     labels = {f"{label.lower()}_days": label for label in ("Rainy", "Hot", "Cold", "Mild")}
     return daily.groupBy("city").agg(
-        round_half_up(exact_mean(money("avg_temp_c")), 1).alias("avg_temp"),
+        round_half_up(amount("avg_temp_c").mean(), 1).alias("avg_temp"),
         round_half_up(as_double(F.max("max_temp_c")), 1).alias("max_temp"),
         round_half_up(as_double(F.min("min_temp_c")), 1).alias("min_temp"),
-        round_half_up(exact_sum(money("total_precip_mm")), 1).alias("total_rain"),
+        round_half_up(amount("total_precip_mm").sum(), 1).alias("total_rain"),
         *[F.count_if(F.col("weather_label") == label).alias(name) for name, label in labels.items()],
     )
 
@@ -149,7 +149,7 @@ STATS_SQL = """SELECT event_type AS symbol, COUNT(*) AS n_rows, CAST(SUM(CAST(va
 
 @query("symbol_stats", "AGG-08 SRT-01", STATS_SQL)
 def _(spark, sf_dir):
-    return price_stats(ticks(spark, sf_dir), "symbol", money("price")).orderBy("symbol")
+    return price_stats(ticks(spark, sf_dir), "symbol", "price").orderBy("symbol")
 
 
 @query(

@@ -1,6 +1,7 @@
 """Operators against brute force, hot keys included."""
 
 import math
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -8,7 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_mean, exact_sum, money, rescale
+from millrace.functions.numbers import Amount, amount, rescale
 from millrace.functions.text import first_word, fill_zero, money_amount, split_fields, strip, to_number, unit_number
 from millrace.functions.times import from_epoch_seconds, parse_date, to_epoch_seconds
 from millrace.operators.aggregate import conditional_sums, mean_by, occurring_once, shares, sum_grouping_sets, value_counts
@@ -74,7 +75,7 @@ def test_profile_matches_pandas(spark):
 
 def test_grouping_sets_tell_nulls_from_totals(spark):
     df = spark.createDataFrame([("a", "x", 1), ("a", None, 2), (None, "x", 4)], "s string, c string, v int")
-    found = {(r.s, r.c, r.level): r.t for r in sum_grouping_sets(df, ["s", "c"], [["s", "c"], ["s"], ["c"], []], F.col("v"), "t").collect()}
+    found = {(r.s, r.c, r.level): r.t for r in sum_grouping_sets(df, ["s", "c"], [["s", "c"], ["s"], ["c"], []], Amount(F.col("v"), 0), "t").collect()}
     assert found[(None, "x", 0)] == 4 and found[(None, None, 1)] == 4 and found[(None, None, 2)] == 2 and found[(None, None, 3)] == 7
 
 
@@ -82,20 +83,31 @@ def test_counts_shares_means_skip_nulls(spark):
     df = spark.createDataFrame([("a", 1.5), ("a", None), ("b", 2.0), (None, 9.0)], "k string, v double")
     assert rows(value_counts(df, "k")) == [("a", 2), ("b", 1)]
     assert {r.k: r.percent for r in shares(df, "k").collect()} == {"a": 66.7, "b": 33.3}
-    assert {r.k: r.m for r in mean_by(df, "k", money("v"), "m").collect()} == {"a": 1.5, "b": 2.0}
+    assert {r.k: r.m for r in mean_by(df, "k", amount("v"), "m").collect()} == {"a": 1.5, "b": 2.0}
     assert rows(occurring_once(df, ["k"]).select("k")) == [("b",), (None,)]
-    cases = conditional_sums(df, ["k"], money("v"), {"big": F.col("v") > 100})
+    cases = conditional_sums(df, ["k"], amount("v"), {"big": F.col("v") > 100})
     assert {r.k: r.big for r in cases.collect()} == {"a": 0.0, "b": 0.0, None: 0.0}
 
 
 def test_sums_do_not_depend_on_order(spark):
     df = spark.range(10000).select((F.col("id") / 7).alias("x"))
-    found = {df.repartition(n).agg(exact_sum(money("x")).alias("s"), exact_mean(money("x")).alias("m")).first() for n in (1, 3, 8)}
+    found = {df.repartition(n).agg(amount("x").sum().alias("s"), amount("x").mean().alias("m")).first() for n in (1, 3, 8)}
     assert len(found) == 1
-    empty = df.where("false").agg(exact_sum(money("x")).alias("s"), exact_mean(money("x")).alias("m")).first()
+    empty = df.where("false").agg(amount("x").sum().alias("s"), amount("x").mean().alias("m")).first()
     assert (empty.s, empty.m) == (None, None)
 
 
+def test_sums_are_exact_for_any_sign_and_size(spark):
+    values = [0.01, -0.01, 123456.78, -987654.32, 9999999.99, -0.0, 52428.80, 10485.75, 10485.76, -10485.77]
+    df = spark.createDataFrame([(v,) for v in values * 3], "x double")
+    exact = sum(Decimal(str(v)) for v in values) * 3
+    assert df.agg(amount("x").sum()).first()[0] == float(exact)
+    # far beyond what one long holds
+    huge = spark.range(40).select(Amount(F.lit(2**62) + F.col("id"), 4).units.alias("u"))
+    assert huge.agg(Amount(F.col("u"), 4).total()).first()[0] == Decimal(2**62 * 40 + 780)
+    assert [r[0] for r in df.limit(3).select(amount("x").times(amount("x")).minus(Amount(F.lit(1), 4)).value()).collect()] == [0.0, 0.0, 15241576527.9683]
+
+
 PRICES = {
     "PKR 1.5 crore": 15_000_000.0, "PKR 12.5 lacs": 1_250_000.0, "1 LAC": 100_000.0, " pkr 1,250,000 ": 1_250_000.0,
     "1,2.5 Crore": 125_000_000.0, "Call for price": None, "": None, None: None, "12d": None, "crore": None,
