@@ -45,14 +45,12 @@ def scd2_changes(
     images = changes.where("action = 'INSERT'").select(
         *keys, F.col(stamp).alias("start_time"), F.col("is_update").alias("_line"), F.struct(*columns).alias("_image"), F.lit(False).alias("_open")
     )
-    images = first_per_key(images, [*point, "_line"], [])
     marks = opened.where("_updated").select(
         *point, F.lit(True).alias("_line"), F.lit(None).cast(images.schema["_image"].dataType).alias("_image"), F.lit(True).alias("_open")
     )
-    # an image and an open version with the same start are one point on the key's line
-    points = images.unionByName(marks).groupBy(*point, "_line").agg(
-        F.first("_image", ignorenulls=True).alias("_image"), F.bool_or("_open").alias("_open")
-    )
+    # images and an open version with the same start are one point on the key's line; of several images one is
+    # chosen by its values, so that the choice is repeatable
+    points = images.unionByName(marks).groupBy(*point, "_line").agg(F.min("_image").alias("_image"), F.bool_or("_open").alias("_open"))
     lines = next_time_in_key(points, [*keys, "_line"], "start_time", "_next")
     versions = lines.withColumns({"end_time": F.coalesce("_next", open_end()), "is_current": F.col("_next").isNull()})
     blank = F.struct(*nothing)
