@@ -55,6 +55,21 @@ class Amount:
         """Aggregate: the mean over non-null rows, as a double; null when there are none."""
         return F.try_divide(self.sum(), F.count(self.units))
 
+    def rounded_sum(self, digits: int) -> Column:
+        """Aggregate: the sum rounded half up, as a double."""
+        return as_double(F.round(self.total() * F.lit(Decimal(1).scaleb(-self.digits)), digits))
+
+    def rounded_mean(self, digits: int) -> Column:
+        """Aggregate: the mean rounded half up, as a double.
+
+        Whole-number division decides ties by the true quotient; a double quotient may lie a hair below it.
+        """
+        n = F.count(self.units)
+        parts = n.cast("decimal(20,0)") * F.lit(10 ** (self.digits - digits))
+        total = self.total()
+        nearest = F.call_function("div", F.abs(total) * 2 + parts, parts * 2) * F.sign(total).cast("bigint")
+        return F.when(n > 0, in_units(nearest.cast("decimal(20,0)"), digits))
+
     def value(self) -> Column:
         """The amount of one row, as a double."""
         return in_units(self.units.cast("decimal(20,0)"), self.digits)

@@ -21,12 +21,12 @@ def daily_summary(hourly: DataFrame) -> DataFrame:
     """One row per city and day; all cities in one job. Rain over only-null readings is 0, as pandas sums."""
     t, rain, wind, damp = (amount(c, 4) for c in ("temperature", "precipitation", "windspeed", "humidity"))
     daily = hourly.groupBy("city", F.to_date("datetime").alias("date")).agg(
-        round_half_up(t.mean(), 2).alias("avg_temp_c"),
+        t.rounded_mean(2).alias("avg_temp_c"),
         round_half_up(as_double(F.max("temperature")), 2).alias("max_temp_c"),
         round_half_up(as_double(F.min("temperature")), 2).alias("min_temp_c"),
-        round_half_up(F.coalesce(rain.sum(), F.lit(0.0)), 2).alias("total_precip_mm"),
-        round_half_up(wind.mean(), 2).alias("avg_windspeed"),
-        round_half_up(damp.mean(), 1).alias("avg_humidity"),
+        F.coalesce(rain.rounded_sum(2), F.lit(0.0)).alias("total_precip_mm"),
+        wind.rounded_mean(2).alias("avg_windspeed"),
+        damp.rounded_mean(1).alias("avg_humidity"),
     )
     return daily.withColumn("weather_label", weather_label(F.col("total_precip_mm"), F.col("avg_temp_c")))
 
@@ -35,10 +35,10 @@ def city_report(daily: DataFrame) -> DataFrame:
     """Second-level figures per city, and how many days had each label."""
     labels = {f"{label.lower()}_days": label for label in ("Rainy", "Hot", "Cold", "Mild")}
     return daily.groupBy("city").agg(
-        round_half_up(amount("avg_temp_c").mean(), 1).alias("avg_temp"),
+        amount("avg_temp_c").rounded_mean(1).alias("avg_temp"),
         round_half_up(as_double(F.max("max_temp_c")), 1).alias("max_temp"),
         round_half_up(as_double(F.min("min_temp_c")), 1).alias("min_temp"),
-        round_half_up(amount("total_precip_mm").sum(), 1).alias("total_rain"),
+        amount("total_precip_mm").rounded_sum(1).alias("total_rain"),
         *[F.count_if(F.col("weather_label") == label).alias(name) for name, label in labels.items()],
     )
 

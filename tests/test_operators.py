@@ -108,6 +108,13 @@ def test_sums_are_exact_for_any_sign_and_size(spark):
     assert [r[0] for r in df.limit(3).select(amount("x").times(amount("x")).minus(Amount(F.lit(1), 4)).value()).collect()] == [0.0, 0.0, 15241576527.9683]
 
 
+def test_rounded_means_decide_ties_exactly(spark):
+    cases = {"a": [53.40, 53.41], "b": [-53.40, -53.41], "c": [0.01] * 199 + [0.0], "d": [None], "e": [48.57, 48.58, None]}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, x double")
+    found = {r.k: (r.m, r.s) for r in df.groupBy("k").agg(amount("x", 4).rounded_mean(2).alias("m"), amount("x", 4).rounded_sum(1).alias("s")).collect()}
+    assert found == {"a": (53.41, 106.8), "b": (-53.41, -106.8), "c": (0.01, 2.0), "d": (None, None), "e": (48.58, 97.2)}
+
+
 PRICES = {
     "PKR 1.5 crore": 15_000_000.0, "PKR 12.5 lacs": 1_250_000.0, "1 LAC": 100_000.0, " pkr 1,250,000 ": 1_250_000.0,
     "1,2.5 Crore": 125_000_000.0, "Call for price": None, "": None, None: None, "12d": None, "crore": None,
