@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from millrace.llm import twins
 from millrace.llm.chat import prefix_tree, read_back
 from millrace.llm.exact import exact_dedup
+from millrace.llm.minhash import near_groups
 from millrace.llm.mixing import mixed
+from millrace.llm.packing import packed
 from millrace.llm.quality import line_quality
+from millrace.llm.shards import materialised
 from millrace.llm.warc import archived
 from millrace.plans.registry import Query
 
@@ -33,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_minhash_dedup")
+def _(spark, sf_dir):
+    return near_groups(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 @query("op2_exact_dedup", twins.EXACT)
 def _(spark, sf_dir):
     found = exact_dedup(table(spark, sf_dir, "documents"))
@@ -44,6 +52,12 @@ def _(spark, sf_dir):
     return line_quality(table(spark, sf_dir, "documents"))
 
 
+@query("op4_best_fit_packing")
+def _(spark, sf_dir):
+    found = packed(table(spark, sf_dir, "documents"), capacity=2048)
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 TRICKY = r"\### Assistant: </turn> ok"
 
 
@@ -58,6 +72,12 @@ def _(spark, sf_dir):
     return read_back(*prefix_tree(table(spark, sf_dir, "conversations").unionByName(extra)))
 
 
+@query("op6_token_shards")
+def _(spark, sf_dir):
+    found = materialised(table(spark, sf_dir, "documents"), length=2048)
+    return found.select("slot", "sequence", "shard", "record", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op9_warc", twins.WARC)
 def _(spark, sf_dir):
     return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
