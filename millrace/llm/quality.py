@@ -74,11 +74,16 @@ def line_quality(docs: DataFrame, rules: LineRules = LineRules(), *, id: str = "
     text has no words, so it fails; so do an empty one and one of white space. Repeated rows are judged alike, a null id
     is passed on, other columns are not read (so their names don't matter), an empty table gives an empty result.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    lined = docs.select(F.col(id).alias("doc_id"), whole.alias("_text"))
+    return _judged(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("_given")), rules, clean)
+
+
+def _judged(docs: DataFrame, rules: LineRules, clean: str | None, passed: tuple[str, ...] = ()) -> DataFrame:
+    whole = F.coalesce(F.col("_given"), F.lit(""))
+    lined = docs.select("doc_id", whole.alias("_text"), *passed)
     judged = lined.select(
         "doc_id",
         "_text",
+        *passed,
         let(words(F.col("_text")), lambda w: F.struct(F.size(w).alias("n"), _repeat_words(w).alias("r"))).alias("_w"),
         let(
             F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
@@ -95,6 +100,7 @@ def line_quality(docs: DataFrame, rules: LineRules = LineRules(), *, id: str = "
     base_failed = (n < 50) | (100 * repeat > 50 * n)
     out = judged.select(
         "doc_id",
+        *passed,
         n.alias("n_words"),
         (F.char_length("_text") - F.regexp_count("_text", F.lit(r"[\x20\x09-\x0D]"))).cast("bigint").alias("word_chars"),
         F.regexp_count("_text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
@@ -108,3 +114,10 @@ def line_quality(docs: DataFrame, rules: LineRules = LineRules(), *, id: str = "
     )
     kept = ~F.col("base_failed") & (F.col("kept_chars") >= F.col("_chars") * (1 - rules.most_lost))
     return out.withColumn("kept", kept).drop("_chars")
+
+
+def cleaned(docs: DataFrame, rules: LineRules = LineRules(), *, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns, and the text that is left."""
+    whole = docs.select(F.lit(None).alias("doc_id"), F.col(text).alias("_given"), F.struct(*docs.columns).alias("_row"))
+    kept = _judged(whole, rules, "_clean", ("_row",)).where("kept")
+    return kept.select(*[F.col("_clean").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns])

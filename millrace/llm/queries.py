@@ -12,7 +12,9 @@ from millrace.llm.minhash import near_groups
 from millrace.llm.mixing import mixed
 from millrace.llm.packing import packed
 from millrace.llm.quality import line_quality
+from millrace.llm.repeats import without_repeats
 from millrace.llm.shards import materialised
+from millrace.llm.urls import Rule, judged_urls
 from millrace.llm.warc import archived
 from millrace.plans.registry import Query
 
@@ -78,6 +80,28 @@ def _(spark, sf_dir):
     return found.select("slot", "sequence", "shard", "record", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op7_suffix_dedup")
+def _(spark, sf_dir):
+    def digested(found):
+        return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("left", 256).alias("kept_sha256"))
+
+    return without_repeats(table(spark, sf_dir, "documents"), length=100, finish=digested)
+
+
+RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+
+
+@query("op8_url_filter")
+def _(spark, sf_dir):
+    return judged_urls(table(spark, sf_dir, "pages"), RULES)
+
+
 @query("op9_warc", twins.WARC)
 def _(spark, sf_dir):
     return archived(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
