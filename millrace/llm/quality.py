@@ -23,11 +23,12 @@ NOTICES = (
 
 @dataclass(frozen=True)
 class LineRules:
-    """A line fails when it doesn't end a sentence, when runs of symbols stand on more than ``noise`` of its words, when
+    """A line fails when it doesn't end a sentence and is short (under ``fragment_words``) or has none inside, when runs of symbols stand on more than ``noise`` of its words, when
     it has doubled exclamation marks on more than ``shouting`` of them, when ``separators`` of its words are menu
     separators, or when it has a notice and at most ``notice_words`` words. A document is rejected when the lines that
     fail hold more than ``most_lost`` of its characters."""
 
+    fragment_words: int = 8
     noise: float = 0.1
     shouting: float = 0.2
     separators: float = 0.15
@@ -64,7 +65,8 @@ def line_fails(line: Column, rules: LineRules) -> Column:
     shouted = F.regexp_count(line, F.lit("!!")) > n * rules.shouting
     menu = F.regexp_count(line, F.lit(r"(?<!\S)[|»›•·](?!\S)")) >= n * rules.separators
     notice = (n <= rules.notice_words) & F.lower(line).rlike(NOTICES)
-    return unended | noisy | shouted | menu | notice
+    fragment = (n < rules.fragment_words) | ~line.rlike(r"[.!?…。！？][\"'”’»)\]]*\s")
+    return (unended & fragment) | noisy | shouted | menu | notice
 
 
 def line_quality(docs: DataFrame, rules: LineRules = LineRules(), *, id: str = "doc_id", text: str = "text", clean: str | None = None) -> DataFrame:

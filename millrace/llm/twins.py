@@ -29,7 +29,9 @@ lines AS (
   ) WHERE len(wx) > 0
 ),
 judged AS (
-  SELECT doc_id, x, NOT regexp_matches(right(trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 4), '[.!?…。！？]["''”’»)\]]*$')
+  SELECT doc_id, x,
+    (NOT regexp_matches(right(trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 4), '[.!?…。！？]["''”’»)\]]*$')
+      AND (n < 8 OR NOT regexp_matches(x, '[.!?…。！？]["''”’»)\]]*\s')))
     OR len(regexp_extract_all(x, '[#*$%&<>]{{2,}}')) > n * 0.1
     OR len(regexp_extract_all(x, '!!')) > n * 0.2
     OR len(list_filter(wx, lambda w: w IN ('|', '»', '›', '•', '·'))) >= n * 0.15
