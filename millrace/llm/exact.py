@@ -44,6 +44,8 @@ def remember(spark: SparkSession, arrivals: str, folder: str, batch_bytes: int =
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # a store per partition: space reserved ahead would be most of a small one
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     keys = session.readStream.schema(f"digest binary, {_KEEPER}").option("maxBytesPerTrigger", str(batch_bytes)).parquet(arrivals)
     state = keys.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.count(F.lit(1)).alias("group_size"))
 
