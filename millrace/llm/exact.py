@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.llm.text import lower_az, with_place
 from millrace.session import new_folder, stored
 
+_KEY = "quick bigint, digest binary"
 _KEEPER = "keeper struct<doc_id:bigint,file:string,row:bigint>"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,9 +29,10 @@ def _normal(text: str) -> Column:
 
 
 def content_keys(docs: DataFrame, id: str, text: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """(digest, keeper) of each row of a frame with ``_file`` and ``_row``."""
+    """(quick, digest, keeper) of each row of a frame with ``_file`` and ``_row``; quick is a cheap hash of the same text."""
     keeper = F.struct(F.col(id).cast("bigint").alias("doc_id"), F.col("_file").alias("file"), F.col("_row").alias("row"))
-    return docs.select(digest(_normal(text)).alias("digest"), keeper.alias("keeper"))
+    normal = docs.select(_normal(text).alias("_t"), keeper.alias("keeper"))
+    return normal.select(F.xxhash64("_t").alias("quick"), digest(F.col("_t")).alias("digest"), "keeper")
 
 
 def remember(spark: SparkSession, arrivals: str, folder: str, batch_bytes: int = 2**40) -> DataFrame:
@@ -46,7 +48,7 @@ def remember(spark: SparkSession, arrivals: str, folder: str, batch_bytes: int =
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     # a store per partition: space reserved ahead would be most of a small one
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
-    keys = session.readStream.schema(f"digest binary, {_KEEPER}").option("maxBytesPerTrigger", str(batch_bytes)).parquet(arrivals)
+    keys = session.readStream.schema(f"{_KEY}, {_KEEPER}").option("maxBytesPerTrigger", str(batch_bytes)).parquet(arrivals)
     state = keys.groupBy("digest").agg(F.max("keeper").alias("keeper"), F.count(F.lit(1)).alias("group_size"))
 
     def save(batch: DataFrame, number: int) -> None:
@@ -82,19 +84,18 @@ def _decided(placed: DataFrame, id: str, text: str, digest: Callable[[Column], C
     folder = new_folder(spark, "exact")
     keys_at = f"{folder}/keys"
     content_keys(placed, id, text, digest).write.parquet(keys_at)
-    keys = spark.read.schema(f"digest binary, {_KEEPER}").parquet(keys_at)
+    keys = spark.read.schema(f"{_KEY}, {_KEEPER}").parquet(keys_at)
     groups = stored(remember(spark, keys_at, folder))
 
-    hits = stored(keys.join(groups.where("group_size > 1").select("digest"), "digest").select("digest", "keeper.file", "keeper.row"))
-    contents = (
-        placed.select(F.col("_file").alias("file"), F.col("_row").alias("row"), _normal(text).alias("_t"))
-        .join(hits, ["file", "row"])
-        .groupBy("digest")
-        .agg(F.min("_t").alias("_least"), F.max("_t").alias("_most"))
-    )
-    clashes = stored(contents.where("_least <> _most").select("digest"))
+    # eight bytes per group of several rows choose the texts that have to be compared
+    hits = stored(keys.join(groups.where("group_size > 1").select("digest"), "digest").select("quick").distinct())
+    contents = placed.select(_normal(text).alias("_t")).withColumn("quick", F.xxhash64("_t")).join(hits, "quick", "left_semi")
+    # by a hash of the key: were it the key itself, Spark would bring all texts of a group together before it compares any
+    same = contents.groupBy(F.xxhash64("quick")).agg(F.min("_t").alias("_least"), F.max("_t").alias("_most"), F.first("quick").alias("quick"))
+    differ = stored(same.where("_least <> _most").select("quick"))
+    clashes = stored(keys.join(differ, "quick").select("digest").distinct())
 
-    found = keys.join(groups.withColumnRenamed("keeper", "_keeper"), "digest")
+    found = keys.drop("quick").join(groups.withColumnRenamed("keeper", "_keeper"), "digest")
     if not clashes.isEmpty():
         found = found.join(clashes, "digest", "left_anti").unionByName(_by_text(placed, keys, clashes, id, text))
     return found.select(
