@@ -6,8 +6,10 @@ keeps the chance that two documents agree in a bin equal to their similarity. Ru
 
 A bucket doesn't give all its pairs: one member, the centre, is compared with the others (a star). Every comparison is
 exact, on full shingle sets. Links that a star can't see, between members that aren't like its centre, are found in
-further rounds with new centres (twice as many each time), but only in buckets whose members are still in several
-components, and only across these. So pairs stay in proportion to bucket sizes, and no link between buckets' members that
+further rounds with new centres (four times as many each time), but only in buckets whose members are still in several
+components, and only across these. Before sets are read, a sketch that holds the parity of the shingles in each of 512 cells
+drops pairs that can't be similar enough: two sets differ in at least as many shingles as their sketches in cells, so no
+link is lost. So pairs stay in proportion to bucket sizes, and no link between buckets' members that
 would join two components is lost. Documents with the same set are one node from the start.
 """
 
@@ -20,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.graph import components
@@ -74,6 +76,15 @@ def buckets(values: np.ndarray, banding: Banding) -> np.ndarray:
     return h
 
 
+CELLS = 512
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles in each cell, 64 cells to a number."""
+    cells = np.bincount((shingles & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+
+
 def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     for text in column.cast(pa.binary()):
         yield shingle_set(word_hashes((text.as_py() or b"").lower()), words)
@@ -84,20 +95,22 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def fingerprints(docs: DataFrame, words: int, banding: Banding) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and its buckets (null without shingles), of a frame (doc_id, text)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("buckets", pa.list_(pa.int64()))])
+    """doc_id, n_shingles, digest of the set, its buckets and sketch (null without shingles), of a frame (doc_id, text)."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("buckets", longs), ("sketch", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, bands = [], [], []
+            sizes, digests, bands, cells = [], [], [], []
             for s in _sets(batch.column(1), words):
                 sizes.append(len(s))
                 digests.append(_digest(s) if len(s) else None)
                 bands.append(buckets(signature(s, banding), banding).view(np.int64) if len(s) else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+                cells.append(sketch(s) if len(s) else None)
+            columns = [batch.column(0), *(pa.array(v, f.type) for v, f in zip((sizes, digests, bands, cells), list(schema)[1:], strict=True))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, buckets array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, buckets array<bigint>, sketch array<bigint>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -114,6 +127,14 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "digest binary, shingles array<bigint>")
 
 
+def _can_link(percent: int) -> Column:
+    """Whether sizes and sketches of two sets (n, sketch and _n, _s) allow the similarity: the smaller set has at least
+    ``percent`` of the larger one's size, and they differ in few enough shingles."""
+    differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("_s")[k])) for k in range(CELLS // 64)), F.lit(0))
+    few = (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("_n"))
+    return (100 * F.least("n", "_n") >= percent * F.greatest("n", "_n")) & few
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) of digests whose sets have an intersection of at least ``percent`` of their union."""
     x = sets.select(F.col("digest").alias("x"), F.col("shingles").alias("_x"))
@@ -140,13 +161,13 @@ def near_groups(
     texts = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     prints = stored(fingerprints(texts, words, banding))
     known = prints.where("digest is not null and doc_id is not null")
-    nodes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("label"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets")))
+    nodes = stored(known.groupBy("digest").agg(F.min("doc_id").alias("label"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch")))
 
     rows = nodes.select("digest", "n", "label", F.explode("buckets").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("among")).where("among > 1")
     members = stored(rows.join(shared, "bucket"))
     # the member that meets most others is most like them, so its star leaves least for later rounds
-    met = members.groupBy("digest").agg(F.sum("among").alias("met"))
+    met = members.groupBy("digest").agg(F.sum("among").alias("met")).join(nodes.select("digest", "sketch"), "digest")
     members = stored(members.drop("among").join(met, "digest"))
     wanted = members.select(F.col("label").alias("doc_id")).distinct()
     sets = stored(full_sets(texts.join(wanted, "doc_id"), words).groupBy("digest").agg(F.first("shingles").alias("shingles")))
@@ -162,15 +183,14 @@ def near_groups(
             break
         in_order = Window.partitionBy("bucket").orderBy(F.col("met").desc(), "digest")
         chosen = stored(members.withColumn("_rn", F.row_number().over(in_order)).where(F.col("_rn") <= centres))
-        star = chosen.select("bucket", F.col("digest").alias("x"), F.col("label").alias("a"), F.col("n").alias("_n"))
-        least, most = F.least("n", "_n"), F.greatest("n", "_n")
-        pairs = members.select("bucket", F.col("digest").alias("y"), F.col("label").alias("b"), "n").join(star, "bucket")
-        pairs = pairs.where((F.col("a") != F.col("b")) & (100 * least >= percent * most)).select("x", "y", "a", "b").distinct()
+        star = chosen.select("bucket", F.col("digest").alias("x"), F.col("label").alias("a"), F.col("n").alias("_n"), F.col("sketch").alias("_s"))
+        pairs = members.select("bucket", F.col("digest").alias("y"), F.col("label").alias("b"), "n", "sketch").join(star, "bucket")
+        pairs = pairs.where((F.col("a") != F.col("b")) & _can_link(percent)).select("x", "y", "a", "b").distinct()
         new = stored(components(_linked(stored(pairs), sets, percent).select("a", "b")))
         roots = stored(_joined(roots, new))
         # a centre has now met all members of its bucket
         rest = members.join(chosen.select("bucket", "digest"), ["bucket", "digest"], "left_anti")
-        members, centres = stored(_relabelled(rest, new)), centres * 2
+        members, centres = stored(_relabelled(rest, new)), centres * 4
 
     labels = nodes.select("digest", F.col("label").alias("id"), F.lit(1).alias("_node")).join(roots, "id", "left")
     labels = labels.select("digest", F.coalesce("root", "id").alias("component_id"))
