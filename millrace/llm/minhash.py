@@ -170,7 +170,8 @@ def near_groups(
     met = members.groupBy("digest").agg(F.sum("among").alias("met")).join(nodes.select("digest", "sketch"), "digest")
     members = stored(members.drop("among").join(met, "digest"))
     wanted = members.select(F.col("label").alias("doc_id")).distinct()
-    sets = stored(full_sets(texts.join(wanted, "doc_id"), words).groupBy("digest").agg(F.first("shingles").alias("shingles")))
+    # the list of ids grows with the corpus, so it is never sent whole to every task
+    sets = stored(full_sets(texts.join(wanted.hint("merge"), "doc_id"), words).groupBy("digest").agg(F.first("shingles").alias("shingles")))
 
     same_id = known.select(F.col("doc_id").alias("a"), "digest").join(nodes.select("digest", F.col("label").alias("b")), "digest").where("a <> b")
     links = same_id.select("a", "b").join(nodes.select(F.col("label").alias("a")).distinct(), "a")
