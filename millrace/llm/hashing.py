@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

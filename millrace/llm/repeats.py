@@ -32,7 +32,7 @@ from millrace.llm.hashing import Rolling
 from millrace.llm.suffixes import classes
 from millrace.session import stored
 
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18
 _PLACE_BITS = np.uint64(22)
 _FIRST = np.iinfo(np.int64).min
 CHUNK = "chunk bigint, ids array<bigint>, sizes array<bigint>, blob binary"

@@ -86,10 +86,10 @@ class BlindTrie:
 def classes(data: bytes, starts: np.ndarray, length: int, shallow: int = 64) -> np.ndarray:
     """For each suffix start, a number that equal first ``length`` bytes share; -1 where no other suffix has them."""
     out = np.full(len(starts), -1, np.int64)
-    left, group = _shallow(np.frombuffer(data, np.uint8), starts, shallow // WORD * WORD)
+    done = min(shallow, length) // WORD * WORD
+    left, group = _shallow(np.frombuffer(data, np.uint8), starts, done)
     if not len(left):
         return out
-    done = shallow // WORD * WORD
     at = starts[left].tolist()
     leaves = np.empty(len(at), np.int64)
     bounds = [*np.flatnonzero(np.diff(group, prepend=-1)).tolist(), len(at)]
