@@ -84,8 +84,11 @@ class Layout:
         return Order(self.n, self.key)
 
 
-def sequences(docs: DataFrame, text: str, length: int, vocabulary: str) -> DataFrame:
-    """(part, nth, ids, n_tokens) of the running ids of each split, written to the shared folder; the last one of a split is
+SEQUENCE = "part int, nth bigint, ids binary, n_tokens int"
+
+
+def sequences(docs: DataFrame, text: str, length: int, vocabulary: str) -> str:
+    """Write (part, nth, ids, n_tokens) of the running ids of each split to a shared folder; the last one of a split is
     filled up with the end token."""
     schema = pa.schema([("part", pa.int32()), ("nth", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int32())])
 
@@ -112,9 +115,17 @@ def sequences(docs: DataFrame, text: str, length: int, vocabulary: str) -> DataF
             yield out(np.concatenate([rest, np.full(length - len(rest), end, "<u2")]), [len(rest)])
 
     folder = new_folder(docs.sparkSession, "sequences")
-    kind = "part int, nth bigint, ids binary, n_tokens int"
-    docs.select(text).mapInArrow(run, kind).write.option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.schema(kind).parquet(folder)
+    docs.select(text).mapInArrow(run, SEQUENCE).write.option("compression", "zstd").parquet(folder)
+    return folder
+
+
+def _in_small_batches(spark: SparkSession, folder: str, records: int = 1024) -> DataFrame:
+    """The stored sequences, read through a session that hands a few megabytes of them to Python at a time."""
+    session = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.session.timeZone"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(records))
+    return session.read.schema(SEQUENCE).parquet(folder)
 
 
 def write_shards(
@@ -123,7 +134,7 @@ def write_shards(
     *,
     text: str = "text",
     length: int = 2048,
-    per_shard: int = 8192,
+    per_shard: int = 4096,
     key: int = 1,
     vocabulary: str | None = None,
 ) -> Layout:
@@ -138,7 +149,7 @@ def write_shards(
     if encoding(path).n_vocab > 2**16:
         raise ValueError("16-bit records hold 65536 ids at most")
     cut = sequences(docs, text, length, path)
-    parts = cut.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"))
+    parts = spark.read.schema(SEQUENCE).parquet(cut).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("tokens"))
     parts = stored(parts)
     n, tokens = parts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     layout = Layout(n, length, per_shard, key, tokens)
@@ -183,7 +194,7 @@ def write_shards(
         if slots:
             yield from out()
 
-    numbered = cut.join(offsets, "part").select(F.col("before") + F.col("nth"), "ids")
+    numbered = _in_small_batches(spark, cut).join(offsets, "part").select(F.col("before") + F.col("nth"), "ids")
     shards = max(1, -(-n // per_shard))
     dealt = numbered.mapInArrow(scatter, "shard bigint, slots binary, records binary").repartition(shards, "shard").sortWithinPartitions("shard")
     rows = dealt.mapInArrow(gather, "shard bigint, record binary").select("shard", F.col("record").cast("string").alias("value"))
