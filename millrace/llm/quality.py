@@ -100,6 +100,8 @@ def _judged(docs: DataFrame, rules: LineRules, clean: str | None, passed: tuple[
     n, repeat = F.col("_w.n").cast("bigint"), F.col("_w.r").cast("bigint")
     left = F.aggregate("_l.left", F.lit(0).cast("bigint"), lambda s, x: s + F.char_length(x))
     base_failed = (n < 50) | (100 * repeat > 50 * n)
+    # through a generator, so that a filter on the verdict isn't pushed below and all of this computed again for it
+    judged = judged.select("doc_id", *passed, F.inline(F.array(F.struct("_text", "_w", "_l"))))
     out = judged.select(
         "doc_id",
         *passed,
