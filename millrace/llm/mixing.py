@@ -62,64 +62,90 @@ def mixed(
     reruns agree; of repeated rows any may be the one that is taken, the result is the same. Rows without words are never
     taken. A null id is a key like any other. Other columns aren't read, an empty table gives an empty result.
     """
-    options = {"id": id, "text": text, "source": source, "weights": weights, "total": total}
-    return _plan(docs, [], **options, most_copies=most_copies, odds=odds, seed=seed)
+    rows, targets = _sized(docs, [], id, text, source, weights, total, most_copies, odds)
+    rows = stored(_ranked(rows, targets, most_copies, seed))
+    cuts = _cuts(rows, targets)
+    return rows.join(cuts, "source_no").select(
+        "doc_id", "size", "source", "source_size", "target", (_copies() * F.col("size")).alias("taken"), _copies().alias("copies")
+    )
 
 
-def _plan(
-    docs: DataFrame,
-    place: list[str],
-    id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    weights: Sequence[float] = (3, 1, 2),
-    total: float = 1.5,
-    most_copies: int = 2,
-    odds: str | None = None,
-    seed: str = "mix",
-) -> DataFrame:
-    """``mixed``, with the columns that tell the place of each row."""
+_TIES = ["_rank", "doc_id", "size", "_content"]
+
+
+def _rows(docs: DataFrame, passed: list[str], id: str, text: str, source: str, odds: str | None) -> DataFrame:
     wish = F.when(F.col(odds) > 0, F.col(odds).cast("double")).otherwise(F.lit(1.0)) if odds else F.lit(1.0)
-    rows = stored(
-        docs.select(
-            F.col(id).alias("doc_id"),
-            F.col(source).alias("source"),
-            F.size(words(F.col(text))).cast("bigint").alias("size"),
-            F.xxhash64(F.col(text)).alias("_content"),
-            wish.alias("_wish"),
-            *place,
-        )
+    return docs.select(
+        F.col(id).alias("doc_id"),
+        F.col(source).alias("source"),
+        F.size(words(F.col(text))).cast("bigint").alias("size"),
+        F.xxhash64(F.col(text)).alias("_content"),
+        wish.alias("_wish"),
+        *passed,
     )
+
+
+def _sized(docs, passed, id, text, source, weights, total, most_copies, odds) -> tuple[DataFrame, DataFrame]:
+    """Rows with their sizes, and the targets of their sources."""
+    rows = stored(_rows(docs, passed, id, text, source, odds))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("_wish")).alias("_wished"))
-    targets = stored(source_targets(sizes, weights, total, most_copies))
+    return rows, stored(source_targets(sizes, weights, total, most_copies))
+
+
+def _ranked(rows: DataFrame, targets: DataFrame, most_copies: int, seed: str) -> DataFrame:
+    """The rows with what is sure of them (``_sure`` copies) and their rank for one more (null: no chance of one)."""
     rate = F.col("target") / F.when(F.col("_wished") > 0, F.col("_wished"))
     expected = F.least(F.coalesce(rate * F.col("_wish"), F.lit(0.0)), F.lit(float(most_copies)))
     chance = F.col("_expected") - F.col("_sure")
     draw = uniform(seed, F.col("doc_id"))
-    ranked = (
-        rows.join(targets, rows.source.eqNullSafe(targets.source))
-        .select("doc_id", "size", rows.source, "_content", "source_no", "source_size", "target", *place, expected.alias("_expected"))
+    # in logarithms, so that odds near 0 or without bound stay in order
+    odds = F.ln(draw) - F.ln(1 - draw) - F.ln(chance) + F.ln(1 - chance)
+    known = targets.withColumnRenamed("source", "_source").drop("weight")
+    return (
+        rows.join(known, F.col("source").eqNullSafe(F.col("_source")))
+        .drop("_source")
+        .withColumn("_expected", expected)
         .withColumn("_sure", F.floor("_expected"))
-        # in logarithms, so that odds near 0 or without bound stay in order
-        .withColumn("_rank", F.when(chance > 0, F.ln(draw) - F.ln(1 - draw) - F.ln(chance) + F.ln(1 - chance)))
-        .withColumn("_line", F.col("_rank").isNotNull() & (F.col("size") > 0))
-    )
-    ties = ["_rank", "doc_id", "size", "_content", *place]
-    in_order = placed(ranked, ["source_no", "_line", *ties])
-    sure = in_order.groupBy("source_no").agg(F.sum(F.col("_sure") * F.col("size")).alias("_given"))
-    totals = running_total(in_order, ["source_no", "_line"], ties, "size", "_upto")
-    # a document is taken when at least half of it is still wanted
-    more = F.col("_line") & (F.col("_upto") - F.col("size") / 2 <= F.col("target") - F.col("_given"))
-    copies = (F.col("_sure") + F.when(more, 1).otherwise(0)).cast("bigint")
-    return totals.join(sure, "source_no").select(
-        "doc_id", "size", "source", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *place
+        .withColumn("_rank", F.when((chance > 0) & (F.col("size") > 0), odds))
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it, with their columns. Options are those of ``mixed``."""
-    placed_docs = with_place(docs)
-    plan = stored(_plan(placed_docs, ["_file", "_row"], **options).where("copies > 0").select("_file", "_row", "copies"))
-    times = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_time")
-    plan = plan.select("_file", "_row", times)
-    return placed_docs.join(plan, ["_file", "_row"]).select(*[placed_docs[c] for c in docs.columns])
+def _cuts(rows: DataFrame, targets: DataFrame, place: list[str] | None = None) -> DataFrame:
+    """Per source, the last row in rank order that is taken once more: the last of which half is still wanted."""
+    ties = [*_TIES, *(place or [])]
+    sure = rows.groupBy("source_no").agg(F.sum(F.col("_sure") * F.col("size")).alias("_given"))
+    in_order = placed(rows.where("_rank is not null").select("source_no", "target", *ties), ["source_no", *ties])
+    totals = running_total(in_order, ["source_no"], ties, "size", "_upto").join(sure, "source_no")
+    taken = totals.where(F.col("_upto") - F.col("size") / 2 <= F.col("target") - F.col("_given"))
+    last = taken.groupBy("source_no").agg(F.max(F.struct(*ties)).alias("_last"))
+    return stored(targets.select("source_no").join(last, "source_no", "left"))
+
+
+def _copies(place: list[str] | None = None) -> Column:
+    more = F.col("_rank").isNotNull() & (F.struct(*_TIES, *(place or [])) <= F.col("_last"))
+    return (F.col("_sure") + F.when(more, 1).otherwise(0)).cast("bigint")
+
+
+def mix(
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: Sequence[float] = (3, 1, 2),
+    total: float = 1.5,
+    most_copies: int = 2,
+    odds: str | None = None,
+    seed: str = "mix",
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with their columns. Repeated rows are told apart by place.
+
+    Once the last row that is taken is known per source, each row is decided where it is read: no text is shuffled.
+    """
+    place = ["_file", "_row"]
+    read = with_place(docs).withColumn("_whole", F.struct(*docs.columns))
+    rows, targets = _sized(read, place, id, text, source, weights, total, most_copies, odds)
+    cuts = _cuts(stored(_ranked(rows, targets, most_copies, seed)), targets, place)
+    again = _ranked(_rows(read, [*place, "_whole"], id, text, source, odds), stored(targets.join(cuts, "source_no")), most_copies, seed)
+    copies = again.withColumn("_n", _copies(place).cast("int")).where("_n > 0")
+    return copies.select("_whole", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_time")).select("_whole.*")
