@@ -29,10 +29,10 @@ def _normal(text: str) -> Column:
 
 
 def content_keys(docs: DataFrame, id: str, text: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """(quick, digest, keeper) of each row of a frame with ``_file`` and ``_row``; quick is a cheap hash of the same text."""
+    """(quick, digest, keeper) of each row of a frame with ``_file`` and ``_row``; quick stands for the digest in 8 bytes."""
     keeper = F.struct(F.col(id).cast("bigint").alias("doc_id"), F.col("_file").alias("file"), F.col("_row").alias("row"))
     normal = docs.select(_normal(text).alias("_t"), keeper.alias("keeper"))
-    return normal.select(F.xxhash64("_t").alias("quick"), digest(F.col("_t")).alias("digest"), "keeper")
+    return normal.select(digest(F.col("_t")).alias("digest"), "keeper").select(F.xxhash64("digest").alias("quick"), "digest", "keeper")
 
 
 def remember(spark: SparkSession, arrivals: str, folder: str, batch_bytes: int = 2**40) -> DataFrame:
@@ -89,7 +89,7 @@ def _decided(placed: DataFrame, id: str, text: str, digest: Callable[[Column], C
 
     # eight bytes per group of several rows choose the texts that have to be compared
     hits = stored(keys.join(groups.where("group_size > 1").select("digest"), "digest").select("quick").distinct())
-    contents = placed.select(_normal(text).alias("_t")).withColumn("quick", F.xxhash64("_t")).join(hits, "quick", "left_semi")
+    contents = placed.select(_normal(text).alias("_t")).withColumn("quick", F.xxhash64(digest(F.col("_t")))).join(hits, "quick", "left_semi")
     # by a hash of the key: were it the key itself, Spark would bring all texts of a group together before it compares any
     same = contents.groupBy(F.xxhash64("quick")).agg(F.min("_t").alias("_least"), F.max("_t").alias("_most"), F.first("quick").alias("quick"))
     differ = stored(same.where("_least <> _most").select("quick"))
