@@ -124,7 +124,9 @@ def prefix_tree(
         return [(rank, depth, node, ids.tobytes(), len(ids), first, first + len(parts[1]) if role == learn else 0)]
 
     node = "rank bigint, depth int, node binary, ids binary, n_tokens bigint, loss_from int, loss_to int"
-    own = placed(_mapped(steps.join(owners, ["node", "rank"]).select("rank", "depth", "node", "role", "text"), tokenised, node), ["rank", "depth"])
+    owned = steps.join(owners, ["node", "rank"]).select("rank", "depth", "node", "role", "text")
+    # stored, because dealing out by ranges reads its input twice
+    own = placed(stored(_mapped(owned, tokenised, node)), ["rank", "depth"])
     nodes = stored(running_total(own, [], ["rank", "depth"], "n_tokens", "_end").withColumn("start", F.col("_end") - F.col("n_tokens")).drop("_end"))
 
     passed = steps.select("rank", "depth", "node").join(nodes.select("node", "start", "n_tokens", F.col("rank").alias("owner")), "node")
