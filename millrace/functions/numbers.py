@@ -76,9 +76,14 @@ class Amount:
 
 
 def amount(col: Column | str, digits: int = 2) -> Amount:
-    """The column, rounded to that many digits, as an exact amount."""
-    number = F.col(col) if isinstance(col, str) else col
-    return Amount(F.rint(number * F.lit(float(10**digits))).cast("bigint"), digits)
+    """The column, whose values have at most that many digits, as an exact amount; a value with more raises an error.
+
+    A thousandth of the last digit is allowed for, since a double holds most decimal fractions only nearly.
+    """
+    scaled = (F.col(col) if isinstance(col, str) else col) * F.lit(float(10**digits))
+    nearest = F.rint(scaled)
+    cut = F.raise_error(F.concat(F.lit(f"more than {digits} digits after the point: "), (scaled / F.lit(float(10**digits))).cast("string")))
+    return Amount(F.when(F.abs(scaled - nearest) > F.lit(1e-3), cut.cast("bigint")).otherwise(nearest.cast("bigint")), digits)
 
 
 def in_units(total: Column, digits: int) -> Column:

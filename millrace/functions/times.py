@@ -38,9 +38,5 @@ def parse_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 def hour_parts(ts: Column) -> dict[str, Column]:
     """Zero-padded year, month, day and hour, as landing folders are named."""
-    return {
-        "year": F.date_format(ts, "yyyy"),
-        "month": F.date_format(ts, "MM"),
-        "day": F.date_format(ts, "dd"),
-        "hour": F.date_format(ts, "HH"),
-    }
+    parts = {"year": (F.year(ts), 4), "month": (F.month(ts), 2), "day": (F.dayofmonth(ts), 2), "hour": (F.hour(ts), 2)}
+    return {name: F.lpad(part.cast("string"), width, "0") for name, (part, width) in parts.items()}

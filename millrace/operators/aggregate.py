@@ -40,11 +40,14 @@ def growth(df: DataFrame, key: str, what: Amount, year: Column, first: int, seco
     )
 
 
-def price_stats(df: DataFrame, key: str, price: str) -> DataFrame:
-    """Count, mean, least and greatest price per key; the same code serves batch and stream."""
+def price_stats(df: DataFrame, key: str, price: str, digits: int = 2) -> DataFrame:
+    """Count, mean, least and greatest price per key; the same code serves batch and stream.
+
+    ``digits`` are those that prices have; a price with more raises an error instead of being cut.
+    """
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        amount(price).mean().alias("avg_price"),
+        amount(price, digits).mean().alias("avg_price"),
         as_double(F.min(price)).alias("min_price"),
         as_double(F.max(price)).alias("max_price"),
     )

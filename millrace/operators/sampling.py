@@ -14,9 +14,11 @@ def key_hash(keys: Sequence[str], seed: str = "") -> Column:
 
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: str = "") -> DataFrame:
-    """About ``fraction`` of the keys, with all of their rows."""
-    bound = f"{int(fraction * 16**8):08x}"
-    return df.where(F.substring(key_hash(keys, seed), 1, 8) < bound)
+    """About ``fraction`` of the keys, with all of their rows; all keys for 1."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("a fraction lies between 0 and 1")
+    number = F.conv(F.substring(key_hash(keys, seed), 1, 8), 16, 10).cast("bigint")
+    return df.where(number < int(fraction * 16**8))
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int, seed: str = "") -> DataFrame:

@@ -339,11 +339,11 @@ def _(spark, sf_dir):
     "insert_rows",
     "TBL-05 TBL-06 TBL-01",
     f"""WITH {_CUST} SELECT customer_id, name, CAST(CAST(balance AS DECIMAL(18,2)) AS DOUBLE) AS balance FROM cust
-        UNION ALL SELECT 223136, 'Jessica Arnold', NULL""",
+        UNION ALL SELECT 900001, 'Sample Row', NULL""",
 )
 def _(spark, sf_dir):
     folder = new_folder(spark, "inserted")
     rows = customers(spark, sf_dir).select("customer_id", "name", amount("balance").value().alias("balance"))
     rows.write.mode("append").parquet(folder)
-    spark.createDataFrame([(223136, "Jessica Arnold", None)], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+    spark.createDataFrame([(900001, "Sample Row", None)], rows.schema).coalesce(1).write.mode("append").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)

@@ -112,6 +112,12 @@ def _(spark, sf_dir):
     return picked.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
+@query("sample_whole", "FLT-09", "SELECT l_orderkey, l_linenumber FROM lineitem")
+def _(spark, sf_dir):
+    """A sample of everything is everything."""
+    return sample_fraction(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], 1.0).select("l_orderkey", "l_linenumber")
+
+
 @query(
     "sample_rows",
     "FLT-09 SRT-05",

@@ -13,17 +13,16 @@ from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
 
-_CURRENCIES = ["click", "error", "purchase", "signup", "view"]
 _RATE_KEY = ["timestamp_utc", "base_currency", "target_currency"]
 
 
 def rate_documents(spark, sf_dir) -> DataFrame:
     """One document per day, with the day's mean value per event type as rate; Sunday's arrive an hour late."""
     day = F.date_trunc("DAY", "ts").cast("timestamp_ntz")
-    priced = table(spark, sf_dir, "events").groupBy(day.alias("day")).agg(
-        *[amount("value").when(F.col("event_type") == c).mean().alias(c) for c in _CURRENCIES]
-    )
-    doc = F.to_json(F.struct(to_epoch_seconds(F.col("day")).alias("timestamp"), F.lit("USD").alias("base"), F.struct(*_CURRENCIES).alias("rates")))
+    means = table(spark, sf_dir, "events").groupBy(day.alias("day"), "event_type").agg(amount("value").mean().alias("rate"))
+    # whatever types there are; one without a name can't be a key and fails
+    priced = means.groupBy("day").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("event_type", "rate")))).alias("rates"))
+    doc = F.to_json(F.struct(to_epoch_seconds(F.col("day")).alias("timestamp"), F.lit("USD").alias("base"), F.col("rates")))
     late = F.dayofweek("day") == 1
     return priced.select(F.when(late, F.col("day") + F.expr("interval 1 hour")).otherwise(F.col("day")).alias("load_timestamp"), doc.alias("doc"))
 

@@ -57,6 +57,21 @@ def retail(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return df.select(*[F.expr(_COLUMNS[c][1]).alias(c) for c in columns])
 
 
+def part_costs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Cost (``_units``, in 1e-4) by the wanted columns and product. Quantities are summed before the part table is joined,
+    so that sums and not order lines are shuffled by part."""
+    own = [c for c in columns if _COLUMNS[c][0] != "part"]
+    sold = retail(spark, sf_dir, *own, "product_id", "quantity").groupBy(*own, "product_id").agg(amount("quantity").total().alias("_sold"))
+    of_part = [F.col(_COLUMNS[c][1]).alias(c) for c in columns if c not in own]
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), *of_part, amount("p_retailprice").units.alias("_unit"))
+    cost = F.col("_sold").cast("decimal(18,0)") * F.col("_unit").cast("decimal(18,0)")
+    return sold.join(part, "product_id").select(*columns, cost.cast("bigint").alias("_units"))
+
+
+def part_cost() -> Amount:
+    return Amount(F.col("_units"), 4)
+
+
 def discount() -> Amount:
     return amount("list_price").times(Amount(F.col("discount_percent"), 2))
 
@@ -175,8 +190,8 @@ def _(spark, sf_dir):
         GROUP BY state, category ORDER BY state""",
 )
 def _(spark, sf_dir):
-    df = retail(spark, sf_dir, "state", "category", "unit_cost", "quantity")
-    return sum_by(df, ["state", "category"], cost_price(), "total_cost").orderBy("state", "category")
+    df = part_costs(spark, sf_dir, "state", "category")
+    return sum_by(df, ["state", "category"], part_cost(), "total_cost").orderBy("state", "category")
 
 
 @query(
@@ -186,8 +201,8 @@ def _(spark, sf_dir):
         GROUP BY state, region ORDER BY state""",
 )
 def _(spark, sf_dir):
-    df = retail(spark, sf_dir, "state", "region", "unit_cost", "quantity")
-    return sum_by(df, ["state", "region"], cost_price(), "total_cost").orderBy("state", "region")
+    df = part_costs(spark, sf_dir, "state", "region")
+    return sum_by(df, ["state", "region"], part_cost(), "total_cost").orderBy("state", "region")
 
 
 @query(
@@ -198,9 +213,9 @@ def _(spark, sf_dir):
         FROM retail GROUP BY GROUPING SETS ((state, category), (state), (category), ()) ORDER BY state""",
 )
 def _(spark, sf_dir):
-    df = retail(spark, sf_dir, "state", "category", "unit_cost", "quantity")
+    df = part_costs(spark, sf_dir, "state", "category")
     sets = [["state", "category"], ["state"], ["category"], []]
-    return sum_grouping_sets(df, ["state", "category"], sets, cost_price(), "total_cost").orderBy("state", "category", "level")
+    return sum_grouping_sets(df, ["state", "category"], sets, part_cost(), "total_cost").orderBy("state", "category", "level")
 
 
 @query(
@@ -285,8 +300,11 @@ _GROWTH = f"""WITH {_STAR} SELECT sub_category,
 
 
 def _growth(spark, sf_dir):
-    df = retail(spark, sf_dir, "sub_category", "order_date", "list_price", "discount_percent")
-    return growth(df, "sub_category", sale_price(), F.year("order_date"), 1997, 1998)
+    # as for costs: sums per product and year meet the part table
+    lines = retail(spark, sf_dir, "product_id", "order_date", "list_price", "discount_percent")
+    sold = lines.groupBy("product_id", F.year("order_date").alias("_year")).agg(sale_price().total().cast("bigint").alias("_units"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("sub_category"))
+    return growth(sold.join(part, "product_id"), "sub_category", part_cost(), F.col("_year"), 1997, 1998)
 
 
 @query("growth_by_subcategory", "AGG-06 F-CND-01", _GROWTH)

@@ -147,11 +147,25 @@ def _(spark, sf_dir):
     )
 
 
+@query("stream_new_checkpoint", "STM-04 STM-09", TICKS_SQL)
+def _(spark, sf_dir):
+    """A stream that starts over with a new checkpoint numbers its batches from 0 again, and adds to what is there."""
+    main = new_folder(spark, "main")
+    early = F.col("timestamp") < ntz("2024-01-15 00:00:00")
+    source = ticks(spark, sf_dir)
+    for part in (source.where(early), source.where(~early)):
+        landing, mark = new_folder(spark, "landing"), new_folder(spark, "mark")
+        _write_ticks(part, landing)
+        drain(batch_sink(file_stream(spark, landing, _TICK), lambda df, batch_no: write_batch(df, batch_no, main)), mark)
+    return spark.read.schema(_TICK).parquet(main).select(*(f.split()[0] for f in _TICK.split(", ")))
+
+
 @query("stream_replay", "STM-14 STM-04", TICKS_SQL)
 def _(spark, sf_dir):
-    # an existing table goes through the streaming path as it lies; no copy is made first
+    # an existing table goes through the streaming path as it lies; no copy is made first. The pattern lets it be one file
+    # or a folder of files: a plain path has to be a folder.
     main, mark = new_folder(spark, "main"), new_folder(spark, "mark")
-    stored_table = file_stream(spark, sf_dir, SCHEMAS["events"], "parquet", files_per_batch=100, options={"pathGlobFilter": "events*.parquet"})
+    stored_table = file_stream(spark, f"{sf_dir}/events.parque[t]", SCHEMAS["events"], "parquet", files_per_batch=100)
     stream = stored_table.select(
         F.col("event_id").alias("tick_id"), F.col("event_type").alias("symbol"), F.col("value").alias("price"), F.col("ts").alias("timestamp")
     )

@@ -140,23 +140,15 @@ class Cards:
             yield number, values, missing
 
 
-def _spread(pages: DataFrame) -> DataFrame:
-    """Parsing costs far more than moving a page, so pages in a few files are spread over all cores first.
-
-    With at least a file per core, as any large set has, nothing is shuffled.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if len(pages.inputFiles()) < cores else pages
-
-
 def table_rows(pages: DataFrame, html: str, label: str | None = None, data_cells_only: bool = True, table: str = "table") -> DataFrame:
     """Each page's table rows beside the page's other columns; with a label, the table that follows it.
 
-    ``table`` may name a class too, such as ``table.wide``.
+    ``table`` may name a class too, such as ``table.wide``. Parsing costs far more than moving a page: repartition pages
+    that lie in fewer splits than there are cores.
     """
     marker = F.lit(label).cast("string")
     rows = TableRows(F.col(html).outer(), marker, F.lit(data_cells_only), F.lit(table))
-    return _spread(pages).lateralJoin(rows).drop(html)
+    return pages.lateralJoin(rows).drop(html)
 
 
 def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1, table: str = "table") -> DataFrame:
@@ -169,7 +161,7 @@ def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1, tab
 def cards(pages: DataFrame, html: str, card: str, fields: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good cards as columns, and broken cards with the reason."""
     spec = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-    found = _spread(pages).lateralJoin(Cards(F.col(html).outer(), F.lit(card), spec)).drop(html)
+    found = pages.lateralJoin(Cards(F.col(html).outer(), F.lit(card), spec)).drop(html)
     keep = [c for c in pages.columns if c != html]
     good = found.where("error is null").select(*keep, "card_no", *[F.col("fields")[n].alias(n) for n in fields])
     return good, found.where("error is not null").select(*keep, "card_no", "error")

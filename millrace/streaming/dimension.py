@@ -12,7 +12,7 @@ from millrace.operators.history import scd2_changes, start_history
 from millrace.operators.merge import latest_per_key, merge_changes, merge_scd1
 from millrace.session import stored
 from millrace.sources.versions import BucketedTable, HistoryTable
-from millrace.streaming.ingest import BatchWriter
+from millrace.streaming.ingest import BatchWriter, stream_id
 
 _TIMES = [T.StructField(n, T.TimestampNTZType()) for n in ("start_time", "end_time")]
 
@@ -40,7 +40,7 @@ def maintaining(current: BucketedTable, history: HistoryTable, keys: Sequence[st
         staged = stored(latest_per_key(df.select(*keys, *columns, "loaded_at"), keys, [F.desc("loaded_at")]))
         if staged.isEmpty():
             return
-        batch = f"batch-{batch_no}"
+        batch = f"batch-{stream_id(df)}-{batch_no}"
         now = staged.agg(F.max("loaded_at")).scalar()
         first = staged.select(*keys, *columns, now.alias("update_timestamp"))
         if not history.started():

@@ -19,6 +19,8 @@ from millrace.operators.quality import split_valid
 from millrace.sources.versions import overwrite_partitions
 
 BATCH = "batch_no"
+STREAM = "stream_id"
+WRITTEN = "written_at"
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -107,9 +109,17 @@ def batch_sink(stream: DataFrame, write: BatchWriter, mode: str = "append"):
     return stream.writeStream.foreachBatch(write).outputMode(mode)
 
 
+def stream_id(df: DataFrame) -> str:
+    """Id of the stream that a micro-batch belongs to: kept in its checkpoint, new with a new one; empty outside a stream."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def write_batch(df: DataFrame, batch_no: int, folder: str) -> None:
-    """Write a micro-batch under its number, replacing an earlier try of the same batch."""
-    overwrite_partitions(df.withColumn(BATCH, F.lit(batch_no)), folder, [BATCH])
+    """Write a micro-batch under its stream and number, replacing an earlier try of the same batch and no other.
+
+    Batch numbers start again with a new checkpoint, so a number alone would overwrite what an earlier stream wrote.
+    """
+    overwrite_partitions(df.withColumns({STREAM: F.lit(stream_id(df) or "none"), BATCH: F.lit(batch_no)}), folder, [STREAM, BATCH])
 
 
 def quarantining(rules: Mapping[str, Column], good_folder: str, bad_folder: str) -> BatchWriter:
@@ -134,7 +144,7 @@ def delivering(deliver: BatchWriter, dead_folder: str, attempts: int = 3, pause:
             try:
                 return deliver(df, batch_no)
             except Exception as failure:  # any failure of the target counts as a failed try
-                error = f"{type(failure).__name__}: {failure}"[:500]
+                error = f"{type(failure).__name__}: {failure}"
                 if attempt < attempts:
                     time.sleep(pause)
         write_batch(df.withColumns({"error": F.lit(error), "attempts": F.lit(attempts)}), batch_no, dead_folder)
@@ -144,11 +154,12 @@ def delivering(deliver: BatchWriter, dead_folder: str, attempts: int = 3, pause:
 
 def replacing(folder: str) -> BatchWriter:
     """Batch writer for complete-mode figures: each batch holds them all and goes under its own number."""
-    return lambda df, batch_no: write_batch(df, batch_no, folder)
+    return lambda df, batch_no: write_batch(df.withColumn(WRITTEN, F.unix_micros(F.current_timestamp())), batch_no, folder)
 
 
 def newest_batch(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """What the last batch wrote."""
-    all_batches = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(folder)
-    last = all_batches.agg(F.max(BATCH)).scalar()
-    return all_batches.where(F.col(BATCH) == last).drop(BATCH)
+    """What the last batch wrote, of whichever stream."""
+    own = [T.StructField(WRITTEN, T.LongType()), T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())]
+    all_batches = spark.read.schema(T.StructType([*schema.fields, *own])).parquet(folder)
+    last = all_batches.agg(F.max(WRITTEN)).scalar()
+    return all_batches.where(F.col(WRITTEN) == last).drop(WRITTEN, STREAM, BATCH)
