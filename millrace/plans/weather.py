@@ -152,6 +152,19 @@ def _(spark, sf_dir):
     return price_stats(ticks(spark, sf_dir), "symbol", "price").orderBy("symbol")
 
 
+@query(
+    "symbol_stats_fine",
+    "AGG-08 F-MATH-02",
+    """SELECT event_type AS symbol, COUNT(*) AS n_rows, CAST(SUM(p) AS DOUBLE) / COUNT(p) AS avg_price,
+       CAST(min(p) AS DOUBLE) AS min_price, CAST(max(p) AS DOUBLE) AS max_price
+       FROM (SELECT event_type, CAST(event_id % 100003 AS DECIMAL(18,6)) * CAST(0.000001 AS DECIMAL(7,6)) AS p FROM events) GROUP BY event_type""",
+)
+def _(spark, sf_dir):
+    """Prices of millionths: a mean in cents would be 0."""
+    fine = ticks(spark, sf_dir).withColumn("price", F.col("tick_id") % 100003 / F.lit(1e6))
+    return price_stats(fine, "symbol", "price", digits=6)
+
+
 @query(
     "rows_per_load",
     "AGG-12 SRT-01",

@@ -33,7 +33,8 @@ def maintaining(current: BucketedTable, history: HistoryTable, keys: Sequence[st
     Rows carry ``loaded_at``; the newest row per key wins, and the greatest ``loaded_at`` is the time of
     the batch. It comes from the data, so a repeated batch stamps the same time. History goes first: a
     retry then still finds the same changes, the history skips what it has, and the merge finds rows that
-    are already merged unchanged.
+    are already merged unchanged. A batch from before a key's current stamp comes too late for that key: neither
+    table takes it, so that both keep showing the same newest version.
     """
 
     def write(df: DataFrame, batch_no: int) -> None:
@@ -49,6 +50,10 @@ def maintaining(current: BucketedTable, history: HistoryTable, keys: Sequence[st
             current.replace(first)
             return
         only = current.touched(staged)
+        newer = current.read(only).where(F.col("update_timestamp") >= now).select(*keys)
+        staged = stored(staged.join(newer, list(keys), "left_anti"))
+        if staged.isEmpty():
+            return
         if not history.has_batch(batch):
             changes = stored(merge_changes(current.read(only), staged, keys, columns, now))
             history.advance(stored(scd2_changes(changes, history.open_rows(only), keys, columns, now)), batch)

@@ -214,3 +214,22 @@ def test_any_changed_ignores_nulls_by_default(spark):
     pair = [(F.col("a"), F.col("b"))]
     assert [r[0] for r in df.select(any_changed(pair)).collect()] == [False, False, False, True, False]
     assert [r[0] for r in df.select(any_changed(pair, null_safe=True)).collect()] == [True, True, False, True, False]
+
+
+def test_late_batch_changes_neither_table(spark, folder):
+    base = spark.range(10).select("id", F.lit("a").alias("name"))
+    current, history = dimension_tables(spark, folder("late"), base.schema, KEY, 2)
+    write = maintaining(current, history, KEY, COLS)
+
+    def at(name, day):
+        return F.lit(name).alias("name"), F.lit(DAY[day]).cast("timestamp_ntz").alias("loaded_at")
+
+    write(base.select("id", *at("a", 0)), 0)
+    write(base.where("id < 5").select("id", *at("c", 2)), 1)
+    before = rows(current.read()), rows(history.read())
+    write(base.where("id < 5").select("id", *at("b", 1)), 2)
+    assert (rows(current.read()), rows(history.read())) == before
+    write(base.where("id >= 5").select("id", *at("b", 1)), 3)  # not late for these
+    open_now = history.read().where("is_current").select("id", "name")
+    assert rows(open_now) == rows(current.read().select("id", "name"))
+    check(history.read())

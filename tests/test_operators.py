@@ -189,3 +189,37 @@ def test_split_and_checks(spark, folder):
         expect_count(df, 4)
     assert same_schema(df, good.schema) and not same_schema(df, bad.schema)
 
+
+
+def test_fractions_up_to_the_whole(spark):
+    from millrace.operators.sampling import sample_fraction
+
+    df = spark.range(1000)
+    assert [sample_fraction(df, ["id"], f).count() for f in (0.0, 1.0)] == [0, 1000]
+    assert 900 < sample_fraction(df, ["id"], 0.95).count() < 1000
+    with pytest.raises(ValueError):
+        sample_fraction(df, ["id"], 1.1)
+
+
+def test_means_are_of_what_is_in_the_column(spark):
+    from pyspark.errors import SparkRuntimeException
+
+    from millrace.operators.aggregate import price_stats
+
+    df = spark.createDataFrame([("a", 0.004), ("a", 0.004), ("b", 0.125), ("b", 1.23456)], "symbol string, price double")
+    found = {r.symbol: r.avg_price for r in price_stats(df, "symbol", "price", digits=5).collect()}
+    assert found == {"a": 0.004, "b": 0.67978}
+    with pytest.raises(SparkRuntimeException, match="more than 2 digits"):
+        price_stats(df, "symbol", "price").collect()
+
+
+def test_hours_do_not_depend_on_the_session_zone(spark):
+    from millrace.functions.times import hour_parts, ntz
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.range(1).select(ntz("2024-03-10 02:30:00").alias("t")).select(*[c.alias(n) for n, c in hour_parts(F.col("t")).items()]).first()
+        assert tuple(row) == ("2024", "03", "10", "02")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -106,3 +106,25 @@ def test_timed_sink_bounds_records_per_file(spark, folder, land):
     written = spark.read.schema(TICK).json(folder("out"))
     assert written.count() == 250
     assert written.groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] <= 100
+
+
+def test_new_checkpoint_adds_to_what_is_there(spark, folder, land):
+    def run(mark):
+        drain(batch_sink(file_stream(spark, folder("landing"), TICK), lambda df, n: write_batch(df, n, folder("main"))), folder(mark))
+
+    land(0, 10)
+    run("first")
+    land(10, 13)
+    run("second")  # reads all 13 rows anew, as batch 0 of another stream
+    run("second")
+    assert spark.read.schema(TICK).parquet(folder("main")).count() == 10 + 13
+
+
+def test_replay_of_a_table_in_parts(spark, tmp_path):
+    from conftest import SF_DIR
+
+    from millrace.plans.catalog import QUERIES
+
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").limit(500).repartition(5)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES["stream_replay"].plan(spark, str(tmp_path)).count() == 500
