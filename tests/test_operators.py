@@ -90,7 +90,7 @@ def test_counts_shares_means_skip_nulls(spark):
 
 
 def test_sums_do_not_depend_on_order(spark):
-    df = spark.range(10000).select((F.col("id") / 7).alias("x"))
+    df = spark.range(10000).select(F.round(F.col("id") / 7, 2).alias("x"))
     found = {df.repartition(n).agg(amount("x").sum().alias("s"), amount("x").mean().alias("m")).first() for n in (1, 3, 8)}
     assert len(found) == 1
     empty = df.where("false").agg(amount("x").sum().alias("s"), amount("x").mean().alias("m")).first()
