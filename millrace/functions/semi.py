@@ -42,18 +42,28 @@ def flatten_variant(df: DataFrame, variant: str, path: str, value_type: str, key
     return df.select(*keep, F.explode(members).alias(key, value))
 
 
-def items(df: DataFrame, text: str, schema: str) -> DataFrame:
-    """One row per record of JSON text that holds either one object or an array of them.
+def _read(text: str, schema: str, tolerant: bool) -> Column:
+    """Typed JSON text; unreadable text raises, or becomes null when tolerant."""
+    return F.from_json(F.col(text), schema, {"mode": "PERMISSIVE" if tolerant else "FAILFAST"})
 
-    ``from_json`` reads a lone object as an array of one when asked for an array.
+
+def items(df: DataFrame, text: str, schema: str, tolerant: bool = False) -> DataFrame:
+    """One row per record of JSON text that holds either one object or an array of them; none for null text.
+
+    ``from_json`` reads a lone object as an array of one when asked for an array. Unreadable text raises; when tolerant it
+    comes back as one row of nulls beside its text.
     """
     keep = [F.col(c) for c in df.columns]
-    return df.select(*keep, F.inline(F.from_json(F.col(text), f"array<struct<{schema}>>")))
+    records = _read(text, f"array<struct<{schema}>>", tolerant)
+    if tolerant:
+        lost = F.array(F.from_json(F.lit("{}"), f"struct<{schema}>"))
+        records = F.when(F.col(text).isNotNull(), F.coalesce(records, lost))
+    return df.select(*keep, F.inline(records))
 
 
 def hourly_rows(df: DataFrame, text: str) -> DataFrame:
-    """City documents with parallel hourly arrays, as one row per city and hour."""
-    cities = df.select(F.explode(F.from_json(F.col(text), HOURLY_DOCUMENT)).alias("city", "payload"))
+    """City documents with parallel hourly arrays, as one row per city and hour; an unreadable document raises."""
+    cities = df.select(F.explode(_read(text, HOURLY_DOCUMENT, False)).alias("city", "payload"))
     hourly = F.col("payload.hourly")
     zipped = F.arrays_zip(
         hourly["time"].alias("time"),

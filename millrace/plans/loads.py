@@ -23,7 +23,7 @@ from millrace.operators.quality import (
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
-from millrace.sinks.files import keyed_messages, narrow, write_csv, write_hourly_json, write_partitioned
+from millrace.sinks.files import keyed_messages, narrow, publish, write_csv, write_hourly_json, write_partitioned
 from millrace.sources.files import (
     COMMA,
     CORRUPT,
@@ -34,13 +34,14 @@ from millrace.sources.files import (
     list_staged,
     load_report,
     read_csv,
+    read_json_documents,
     read_json_lines,
     read_staged,
     register_partitions,
     skip_bad_files,
     with_batch,
 )
-from millrace.sources.tables import create_database, save_table
+from millrace.sources.tables import bound_query, create_database, create_table, save_table
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 _HEADLESS_PIPE = DelimitedFormat(separator="|", header=False)
@@ -160,6 +161,14 @@ def _(spark, sf_dir):
     return read_csv(spark, folder, "index bigint, p_partkey bigint, label string, p_retailprice double", COMMA)
 
 
+@query("csv_line_breaks", "SRC-04 SNK-01", """SELECT p_partkey, p_name || chr(10) || '"' || p_type || '",' || chr(10) AS label, p_retailprice FROM part""")
+def _(spark, sf_dir):
+    folder = new_folder(spark, "part-lines")
+    label = F.concat("p_name", F.lit('\n"'), "p_type", F.lit('",\n')).alias("label")
+    write_csv(table(spark, sf_dir, "part").select("p_partkey", label, "p_retailprice"), folder)
+    return read_csv(spark, folder, "p_partkey bigint, label string, p_retailprice double", DelimitedFormat(lines_in_fields=True))
+
+
 @query(
     "csv_sentinels",
     "SRC-02 SRC-01",
@@ -197,7 +206,26 @@ TICKS_SQL = "SELECT event_id AS tick_id, event_type AS symbol, value AS price, t
 
 @query("load_json_lines", "SRC-10 SRC-11 F-JSON-03 PRJ-08", f"{TICKS_SQL} WHERE value >= 1")
 def _(spark, sf_dir):
-    return read_json_lines(spark, stage_ticks(spark, sf_dir), _TICK).where(F.col(CORRUPT).isNull() & F.col("tick_id").isNotNull()).drop(CORRUPT)
+    return read_json_lines(spark, stage_ticks(spark, sf_dir), _TICK).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+@query(
+    "json_documents",
+    "SRC-12 SRC-14 F-STR-09",
+    """SELECT CAST(CASE WHEN c_custkey % 100 = 0 THEN 'one' ELSE 'many' END || (c_custkey // 100) AS VARCHAR) AS document, c_custkey AS id,
+       c_name AS name, c_acctbal AS average FROM customer""",
+)
+def _(spark, sf_dir):
+    """Files that hold one object, or an array of up to 99; a record takes its key from the path of its file."""
+    folder = new_folder(spark, "documents")
+    many = F.col("c_custkey") % 100 != 0
+    document = F.concat(F.when(many, F.lit("many")).otherwise(F.lit("one")), F.floor(F.col("c_custkey") / 100))
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.struct(F.col("c_acctbal").alias("average")).alias("rating"))
+    files = table(spark, sf_dir, "customer").groupBy(document.alias("document")).agg(F.collect_list(record).alias("all"))
+    text = F.when(F.col("document").startswith("many"), F.to_json("all")).otherwise(F.to_json(F.col("all")[0]))
+    files.select("document", text.alias("value")).write.partitionBy("document").text(folder)
+    found = read_json_documents(spark, folder, "id bigint, name string, rating struct<average: double>")
+    return found.select(path_value(F.col(FILE), "document").alias("document"), "id", "name", F.col("rating.average").alias("average"))
 
 
 @query(
@@ -212,7 +240,15 @@ def _(spark, sf_dir):
     return spark.read.schema(f"{_TICK}, {parts}").json(folder)
 
 
-@query("keyed_messages", "SNK-10 STM-06 UDF-07 F-JSON-03", f"SELECT symbol AS key, * FROM ({TICKS_SQL})")
+@query("published_rows", "SNK-10 UDF-07", f"SELECT symbol AS key, * FROM ({TICKS_SQL})")
+def _(spark, sf_dir):
+    topic = new_folder(spark, "topic")
+    publish(_ticks(spark, sf_dir), "symbol", "json", {"path": topic})
+    sent = spark.read.schema("key string, value string").json(topic)
+    return sent.select("key", F.from_json(F.col("value"), _TICK, {"mode": "FAILFAST"}).alias("r")).select("key", "r.*")
+
+
+@query("keyed_messages", "STM-06 UDF-07 F-JSON-03", f"SELECT symbol AS key, * FROM ({TICKS_SQL})")
 def _(spark, sf_dir):
     messages = keyed_messages(_ticks(spark, sf_dir), "symbol")
     sent = messages.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
@@ -257,7 +293,7 @@ def _(spark, sf_dir):
 
 @query(
     "split_valid_rows",
-    "DQ-05 SNK-03",
+    "DQ-05",
     """SELECT CASE WHEN o_totalprice < 100000 THEN 'too small' WHEN o_orderstatus = 'P' THEN 'pending' END AS reason, COUNT(*) AS n,
        CAST(SUM(o_orderkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1""",
 )
@@ -268,6 +304,46 @@ def _(spark, sf_dir):
     return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum"))
 
 
+@query(
+    "checked_insert",
+    "SNK-03 DQ-05",
+    """SELECT CASE WHEN c_acctbal < 0 THEN 'in debt' WHEN c_nationkey > 20 THEN 'far away' END AS reason, COUNT(*) AS n,
+       CAST(SUM(c_custkey) AS BIGINT) AS key_sum FROM customer GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    """Good rows go into a table, bad rows with their reason into a reject table."""
+    database = f"checked_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, new_folder(spark, "database"))
+    good, bad = split_valid(table(spark, sf_dir, "customer"), {"in debt": F.col("c_acctbal") >= 0, "far away": F.col("c_nationkey") <= 20})
+    save_table(good, f"{database}.customer", replace=False)
+    save_table(bad, f"{database}.customer_rejects", replace=False)
+    both = spark.table(f"{database}.customer").withColumn("reason", F.lit(None).cast("string")).unionByName(spark.table(f"{database}.customer_rejects"))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("key_sum"))
+
+
+@query(
+    "default_values",
+    "SNK-12 TBL-02 TBL-03 F-DT-06 F-MISC-01",
+    "SELECT COUNT(*) AS n, COUNT(DISTINCT p_partkey) AS row_ids, COUNT(*) AS ids_set, COUNT(*) AS made_since_start, CAST(SUM(p_partkey) AS BIGINT) AS key_sum FROM part",
+)
+def _(spark, sf_dir):
+    """Rows get a random id on the way in and the table's default time of creation."""
+    database = f"made_{uuid.uuid4().hex[:8]}"
+    create_database(spark, database, new_folder(spark, "database"))
+    name = f"{database}.part"
+    create_table(spark, name, "row_id string, p_partkey bigint, created_at timestamp DEFAULT current_timestamp()")
+    start = spark.range(1).select(F.current_timestamp()).first()[0]
+    rows = table(spark, sf_dir, "part").select(F.uuid().alias("row_id"), "p_partkey")
+    bound_query(spark, f"INSERT INTO {name} (row_id, p_partkey) SELECT row_id, p_partkey FROM {{rows}}", {}, rows=rows)
+    return spark.table(name).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("row_id").alias("row_ids"),
+        F.count("row_id").alias("ids_set"),
+        F.count_if(F.col("created_at") >= F.lit(start)).alias("made_since_start"),
+        F.sum("p_partkey").alias("key_sum"),
+    )
+
+
 @query("load_audit", "DQ-01 DQ-04", "SELECT 'load' AS stage, 'orders written' AS message, COUNT(*) AS n_rows FROM orders")
 def _(spark, sf_dir):
     folder, log = new_folder(spark, "orders-main"), new_folder(spark, "audit")

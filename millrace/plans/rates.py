@@ -12,6 +12,8 @@ from millrace.operators.merge import merge_insert_only
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
+from millrace.sinks.files import write_csv
+from millrace.sources.files import read_csv
 
 _RATE_KEY = ["timestamp_utc", "base_currency", "target_currency"]
 
@@ -107,7 +109,7 @@ def _(spark, sf_dir):
 
 @query(
     "json_list_or_object",
-    "SRC-12 SRC-11 F-JSON-03 F-CND-03 F-STR-09",
+    "SRC-11 F-JSON-03 F-CND-03 F-STR-09",
     """SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN c_mktsegment ELSE c_name END AS symbol, c_acctbal AS price, 0 AS item FROM customer
        UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal * 2, 1 FROM customer WHERE c_nationkey < 10""",
 )
@@ -140,7 +142,7 @@ def _nation_rates(spark, sf_dir) -> DataFrame:
 
 @query(
     "currency_convert",
-    "PRJ-07 SRC-05 F-MATH-02",
+    "PRJ-07 F-MATH-02",
     "SELECT p_partkey, "
     + ", ".join(
         f"CAST(round(CAST(p_retailprice AS DECIMAL(9,2)) * (SELECT CAST((n_nationkey + 3) / 8.0 AS DECIMAL(9,3)) FROM nation WHERE n_name = 'NATION_{n}'), 2) AS DOUBLE) AS in_nation_{n}"
@@ -155,7 +157,7 @@ def _(spark, sf_dir):
 
 @query(
     "lookup_join",
-    "JOIN-05 SRC-05",
+    "JOIN-05",
     """SELECT c_custkey, n_name AS currency, CAST(round(CAST(c_acctbal AS DECIMAL(18,2)) * CAST((n_nationkey + 3) / 8.0 AS DECIMAL(9,3)), 2) AS DOUBLE) AS converted
        FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 )
@@ -164,3 +166,17 @@ def _(spark, sf_dir):
     rates = _nation_rates(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
     joined = table(spark, sf_dir, "customer").join(rates, "c_nationkey")
     return joined.select("c_custkey", "currency", as_double(F.round(F.col("c_acctbal").cast("decimal(18,2)") * F.col("rate"), 2)).alias("converted"))
+
+
+@query(
+    "lookup_from_csv",
+    "SRC-05 JOIN-05 SNK-01",
+    """SELECT s_suppkey, n_name AS currency, CAST(round(CAST(s_acctbal AS DECIMAL(18,2)) * CAST((n_nationkey + 3) / 8.0 AS DECIMAL(9,3)), 2) AS DOUBLE) AS converted
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+)
+def _(spark, sf_dir):
+    folder = new_folder(spark, "rates-csv")
+    write_csv(_nation_rates(spark, sf_dir), folder)
+    rates = read_csv(spark, folder, "n_nationkey int, currency string, rate decimal(9,3)").withColumnRenamed("n_nationkey", "s_nationkey")
+    joined = table(spark, sf_dir, "supplier").join(rates, "s_nationkey")
+    return joined.select("s_suppkey", "currency", as_double(F.round(F.col("s_acctbal").cast("decimal(18,2)") * F.col("rate"), 2)).alias("converted"))

@@ -192,7 +192,7 @@ def _(spark, sf_dir):
 
 @query(
     "identity_keys",
-    "SNK-12 TBL-02",
+    "SNK-12",
     "SELECT row_number() OVER (ORDER BY p_partkey) + (SELECT max(s_suppkey) FROM supplier) AS id, p_partkey, p_name FROM part",
 )
 def _(spark, sf_dir):
@@ -289,7 +289,7 @@ def _(spark, sf_dir):
 
 @query(
     "show_ratings",
-    "SRC-14 PRJ-06 F-ARR-02 FLT-02",
+    "PRJ-06 F-ARR-02 FLT-02",
     """SELECT p_partkey AS id, p_name AS name, p_type || ',' || p_brand AS genres, CAST(p_size AS DOUBLE) / 5 AS rating,
        CAST(round(CAST(p_size AS DECIMAL(18,6)) / 10, 1) AS DOUBLE) AS rating_5 FROM part WHERE p_size >= 45""",
 )

@@ -9,19 +9,20 @@ from millrace.functions.semi import JSON_TIMES, row_json
 from millrace.functions.text import move_path, path_value
 from millrace.functions.times import ntz
 from millrace.operators.aggregate import price_stats
-from millrace.plans.dimension import FIELDS, KEY, LOADED, MERGED, _AFTER, _END, customers, staged_customers
+from millrace.operators.merge import merge_scd1
+from millrace.plans.dimension import FIELDS, KEY, LOADED, MERGED, _AFTER, _END, _merged_sql, customers, staged_customers, staging
 from millrace.plans.loads import TICKS_SQL, stage_ticks
 from millrace.plans.registry import query
 from millrace.plans.tables import SCHEMAS, table
 from millrace.plans.weather import STATS_SQL, ticks
-from millrace.session import new_folder
+from millrace.session import new_folder, stored
 from millrace.sources.files import list_staged
+from millrace.sources.versions import BucketedTable
 from millrace.streaming.dimension import dimension_tables, maintaining
 from millrace.streaming.ingest import (
     BATCH,
     batch_sink,
     decode,
-    delivering,
     drain,
     file_sink,
     file_stream,
@@ -29,6 +30,7 @@ from millrace.streaming.ingest import (
     newest_batch,
     quarantining,
     replacing,
+    sending,
     write_batch,
 )
 
@@ -118,33 +120,34 @@ def _(spark, sf_dir):
     return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("offset_sum"))
 
 
+def _accept(record: dict) -> None:
+    """A target that takes prices up to 150."""
+    if record["price"] > 150:
+        raise ValueError("price out of range")
+
+
 @query(
     "stream_dead_letter",
-    "STM-05 SNK-08",
-    """SELECT 'dead' AS place, COUNT(*) FILTER (ts >= TIMESTAMP '2024-01-20') AS n, 3 AS attempts FROM events
-       UNION ALL SELECT 'delivered', COUNT(*) FILTER (ts < TIMESTAMP '2024-01-20'), NULL FROM events""",
+    "STM-05",
+    """SELECT CASE WHEN value > 150 THEN 'dead' ELSE 'delivered' END AS place, COUNT(*) AS n, CAST(SUM(event_id) AS BIGINT) AS key_sum,
+       CAST(CASE WHEN value > 150 THEN 3 ELSE 1 END AS INTEGER) AS attempts FROM events GROUP BY 1, 4""",
 )
 def _(spark, sf_dir):
-    landing, main, dead, mark = (new_folder(spark, n) for n in ("landing", "main", "dead", "mark"))
+    landing, sent, mark = (new_folder(spark, n) for n in ("landing", "sent", "mark"))
+    _write_ticks(ticks(spark, sf_dir), landing)
+    drain(batch_sink(file_stream(spark, landing, _TICK), sending(_accept, sent, pause=0.0)), mark)
+    place = F.when(F.col("error").isNull(), F.lit("delivered")).otherwise(F.lit("dead"))
+    told = spark.read.schema(f"{_TICK}, attempts int, error string").parquet(sent)
+    return told.groupBy(place.alias("place"), "attempts").agg(F.count(F.lit(1)).alias("n"), F.sum("tick_id").alias("key_sum"))
 
-    def deliver(df, batch_no):
-        # the target breaks down on the later ticks, however often it is tried
-        if not df.where(F.col("timestamp") >= ntz("2024-01-20 00:00:00")).isEmpty():
-            raise ConnectionError("target is down")
-        write_batch(df, batch_no, main)
 
-    early = F.col("timestamp") < ntz("2024-01-20 00:00:00")
-    source = ticks(spark, sf_dir)
-    for part in (source.where(early), source.where(~early)):
-        _write_ticks(part, landing)
-        drain(batch_sink(file_stream(spark, landing, _TICK), delivering(deliver, dead, pause=0.0)), mark)
-    lost = spark.read.schema(f"{_TICK}, error string, attempts int").parquet(dead)
-    kept = spark.read.schema(_TICK).parquet(main)
-    counted = F.count(F.lit(1)).alias("n")
-    return (
-        lost.agg(F.lit("dead").alias("place"), counted, F.max("attempts").alias("attempts"))
-        .unionByName(kept.agg(F.lit("delivered").alias("place"), counted, F.lit(None).cast("int").alias("attempts")))
-    )
+@query("stream_json_batches", "SNK-08 STM-04", TICKS_SQL)
+def _(spark, sf_dir):
+    landing, main, mark = (new_folder(spark, n) for n in ("landing", "main", "mark"))
+    _write_ticks(ticks(spark, sf_dir), landing)
+    sink = batch_sink(file_stream(spark, landing, _TICK), lambda df, batch_no: write_batch(df, batch_no, main, "json", rows_per_file=50_000))
+    drain(sink, mark)
+    return spark.read.schema(_TICK).json(main).select(*(f.split()[0] for f in _TICK.split(", ")))
 
 
 @query("stream_new_checkpoint", "STM-04 STM-09", TICKS_SQL)
@@ -213,7 +216,7 @@ def _(spark, sf_dir):
 
 @query(
     "stream_scd2",
-    "STM-11 STM-10 TBL-13 TBL-16",
+    "STM-11 TBL-13 TBL-16",
     f"""WITH {_AFTER.replace('AND balance < 0', 'AND FALSE')} SELECT * REPLACE ({_END}) FROM hist_after WHERE name NOT LIKE '% old'""",
 )
 def _(spark, sf_dir):
@@ -228,6 +231,29 @@ def _(spark, sf_dir):
     return history.read().withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("stream_scd1_on_timer", "STM-10 TBL-11", f"WITH {_merged_sql(False)} SELECT * FROM merged")
+def _(spark, sf_dir):
+    """Half of the staged rows lie there, half arrive while the merge wakes up by a timer."""
+    landing, dim, mark = (new_folder(spark, n) for n in ("landing", "dimension", "mark"))
+    first = customers(spark, sf_dir)
+    current = BucketedTable(spark, dim, first.schema, KEY, buckets=8)
+    current.replace(first)
+    staged_rows, early = staging(spark, sf_dir), F.col("customer_id") % 2 == 0
+    staged_rows.where(early).write.parquet(landing)
+
+    def merge(df, batch_no):
+        staged = stored(df)
+        current.change(staged, lambda rows: merge_scd1(rows, staged, KEY, FIELDS, ntz(MERGED)))
+
+    running = keep_running(batch_sink(file_stream(spark, landing, staged_rows.schema, "parquet"), merge), mark, every="1 second")
+    try:
+        staged_rows.where(~early).write.mode("append").parquet(landing)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return current.read()
+
+
 @query("stream_timed_rotation", "STM-07 SNK-09 STM-04", TICKS_SQL)
 def _(spark, sf_dir):
     # small files by time and by record count, as an object-store connector rotates them

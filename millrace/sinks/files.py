@@ -13,11 +13,12 @@ from millrace.operators.ordered import with_identity
 
 
 def write_csv(df: DataFrame, folder: str, index_by: Sequence[str] | None = None, header: bool = True, sep: str = ",") -> None:
-    """CSV files; with ``index_by`` a leading row number from 0 in that (distinct) order."""
+    """CSV files, text as it is; with ``index_by`` a leading row number from 0 in that (distinct) order."""
     if index_by is not None:
         numbered = with_identity(df, index_by, "index", after=-1)
         df = numbered.select("index", *df.columns)
-    df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"').csv(folder)
+    writer = df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
 
 
 def write_parquet(df: DataFrame, folder: str, rows_per_file: int = 5_000_000, compact: bool = False) -> None:
@@ -33,16 +34,17 @@ def write_partitioned(df: DataFrame, folder: str, keys: Sequence[str], rows_per_
 
 
 def write_clustered(df: DataFrame, folder: str, cluster: str, sort: str) -> None:
-    """Rows of a ``cluster`` value lie together and sorted, so scans can skip row groups; a hot value may span files."""
-    df.hint("rebalance", cluster).sortWithinPartitions(cluster, sort).write.mode("overwrite").parquet(folder)
+    """Each file holds a range of ``cluster`` (and of ``sort`` within it), so scans can skip files; a hot value spans several."""
+    df.repartitionByRange(cluster, sort).sortWithinPartitions(cluster, sort).write.mode("overwrite").parquet(folder)
 
 
 def save_distributed(df: DataFrame, table: str, key: str, sort: str, buckets: int) -> None:
     """Catalog table hashed into buckets by ``key`` and sorted inside them: joins and sums on the key need no shuffle.
 
-    A bucket is read by one task, so this is for keys without a hot value; else use ``write_clustered``.
+    A bucket is written by one task, as one file, and read by one, so this is for keys without a hot value; else use
+    ``write_clustered``.
     """
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(sort).saveAsTable(table)
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(sort).saveAsTable(table)
 
 
 def narrow(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
@@ -70,5 +72,5 @@ def keyed_messages(df: DataFrame, key: str) -> DataFrame:
 
 
 def publish(df: DataFrame, key: str, sink: str, options: Mapping[str, str]) -> None:
-    """Send rows as keyed JSON; ``sink`` is ``kafka`` on a cluster, or a file format."""
+    """Send rows as keyed JSON, appended to what is there; ``sink`` is ``kafka`` on a cluster, or a file format."""
     keyed_messages(df, key).write.format(sink).options(**dict(options)).mode("append").save()

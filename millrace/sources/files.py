@@ -16,12 +16,13 @@ FILE = "_file"
 
 @dataclass(frozen=True)
 class DelimitedFormat:
-    """A named file format."""
+    """A named file format. With ``lines_in_fields`` quoted fields may hold line breaks; such a file is read by one task."""
 
     separator: str = ","
     header: bool = True
     quote: str = '"'
     escape: str = '"'
+    lines_in_fields: bool = False
 
     def options(self) -> dict[str, str]:
         return {
@@ -30,6 +31,7 @@ class DelimitedFormat:
             "quote": self.quote,
             "escape": self.escape,
             "enforceSchema": "true",
+            "multiLine": str(self.lines_in_fields).lower(),
         }
 
 
@@ -48,9 +50,12 @@ def read_csv(
     file_format: DelimitedFormat = COMMA,
     sentinels: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Typed CSV. With sentinels, text is read first, the markers are blanked, then types are cast."""
+    """Typed CSV; a value that doesn't fit its type, or a row with too many or too few fields, raises.
+
+    With sentinels, text is read first, the markers are blanked, then types are cast. To keep bad rows, use ``read_staged``.
+    """
     wanted = _schema(schema)
-    reader = spark.read.options(**file_format.options())
+    reader = spark.read.options(**file_format.options()).option("mode", "FAILFAST")
     if not sentinels:
         return reader.schema(wanted).csv(path)
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])

@@ -1,6 +1,6 @@
 """Rows from stored HTML pages: table grids, a table after a label, and cards.
 
-Spark spreads the pages over tasks; the parser below sees one page at a time.
+Spark spreads the pages over tasks and hands them to the table functions in Arrow batches.
 """
 
 from __future__ import annotations
@@ -106,7 +106,7 @@ def _table(root: _Element, label: str | None, table: str) -> _Element | None:
     return None
 
 
-@F.udtf(returnType="row_no int, cells array<string>")
+@F.udtf(returnType="row_no int, cells array<string>", useArrow=True)
 class TableRows:
     """Rows of a page's table, cells stripped; header cells count as cells only in header rows."""
 
@@ -119,7 +119,7 @@ class TableRows:
             yield number, [c.text() for c in row.children if isinstance(c, _Element) and c.tag in kinds]
 
 
-@F.udtf(returnType="card_no int, fields map<string,string>, error string")
+@F.udtf(returnType="card_no int, fields map<string,string>, error string", useArrow=True)
 class Cards:
     """Fields of each card; a field that is not there makes the card an error row.
 

@@ -6,7 +6,7 @@ cost a task retry. What a table consists of is said by a log of one line per com
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +18,12 @@ from millrace.session import stored
 
 
 class CommitLog:
-    """One line per commit: sequence number, version in force after it (null = none), action, batch."""
+    """One line per commit: sequence number, version in force after it (null = none), action, batch.
 
-    SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp"
+    A bucketed table's line also says in which commit's folder the rows of each bucket lie, and its key columns.
+    """
+
+    SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp, places array<bigint>, keys array<string>"
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -40,12 +43,13 @@ class CommitLog:
         same = (F.col("batch") == F.lit(batch)) & ((F.lit(action) == "") | (F.col("action") == action))
         return (
             self.read()
-            .coalesce(1)
             .agg(
                 F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
                 F.coalesce(F.max("version"), F.lit(-1)).alias("newest"),
                 F.max_by("version", "seq").alias("current"),
                 F.max_by("version", F.when(alive, F.col("seq"))).alias("last_alive"),
+                F.max_by("places", "seq").alias("places"),
+                F.max_by("keys", "seq").alias("keys"),
                 F.coalesce(F.bool_or(same), F.lit(False)).alias("done"),
             )
             .first()
@@ -54,13 +58,22 @@ class CommitLog:
     def has(self, action: str) -> bool:
         return not self.read().where(F.col("action") == action).isEmpty()
 
-    def note(self, seq: int, action: str, version: int | None = None, batch: str | None = None) -> None:
+    def note(
+        self,
+        seq: int,
+        action: str,
+        version: int | None = None,
+        batch: str | None = None,
+        places: Sequence[int | None] = (),
+        keys: Sequence[str] = (),
+    ) -> None:
         line = self.spark.range(1).select(
             F.lit(seq).cast("bigint").alias("seq"),
             F.lit(version).cast("bigint").alias("version"),
             F.lit(action).alias("action"),
             F.lit(batch).cast("string").alias("batch"),
             F.current_timestamp().alias("at"),
+            *([F.array(*[F.lit(c).cast("bigint") for c in places]).alias("places"), F.array(*[F.lit(k) for k in keys]).alias("keys")] if places else []),
         )
         line.coalesce(1).write.mode("append").json(self.folder)
 
@@ -93,9 +106,13 @@ class VersionedTable:
         self.log.note(state.seq + 1, action, version, batch)
         return version
 
+    def version(self) -> int | None:
+        """The version in force, none if the table is dropped or was never written."""
+        return self.log.state().current
+
     def read(self, version: int | None = None) -> DataFrame:
         """The table now, or as it was at an earlier version."""
-        chosen = self.log.state().current if version is None else version
+        chosen = self.version() if version is None else version
         if chosen is None:
             raise LookupError(f"{self.folder} is dropped or was never written")
         return self.spark.read.parquet(self._data(chosen))
@@ -111,16 +128,22 @@ class VersionedTable:
         self.log.note(self.log.state().seq + 1, "restore", version)
 
 
-def overwrite_partitions(df: DataFrame, folder: str, keys: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, folder: str, keys: Sequence[str], kind: str = "parquet", options: Mapping[str, str] | None = None) -> None:
     """Replace only the partitions the frame has rows for; the others keep their files."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(folder)
+    writer = df.write.mode("overwrite").options(**dict(options or {})).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).format(kind).save(folder)
 
 
 class BucketedTable:
-    """Rows in ``_bucket=N`` folders by key hash. A change reads and rewrites only the buckets its keys fall into.
+    """Rows in buckets by key hash. A change reads and rewrites only the buckets its keys fall into.
+
+    Each commit writes its buckets to a folder of its own, ``_commit=N/_bucket=B``, and one log line then points to them: a
+    crash at any time leaves the table as it was, and readers never see half a batch. The log also holds keys and number of
+    buckets, so a table can't be opened with others. Folders that no bucket uses any more are listed by ``unused``, for
+    the cluster to expire once no reader needs them.
 
     Choose ``buckets`` so that one bucket is a few gigabytes. Each written bucket carries one hidden row, so that a
-    bucket whose rows are all gone is replaced too.
+    bucket whose rows are all gone has a folder too.
     """
 
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, keys: Sequence[str], buckets: int):
@@ -129,8 +152,14 @@ class BucketedTable:
         self.log = CommitLog(spark, f"{folder.rstrip('/')}/commits")
         self._stored = T.StructType([*schema.fields, T.StructField("_live", T.BooleanType()), T.StructField("_bucket", T.IntegerType())])
 
+    def _state(self):
+        state = self.log.state()
+        if state.places is not None and (len(state.places), list(state.keys)) != (self.buckets, self.keys):
+            raise ValueError(f"{self.folder} has {len(state.places)} buckets by {state.keys}, not {self.buckets} by {self.keys}")
+        return state
+
     def started(self) -> bool:
-        return self.log.has("replace all")
+        return self._state().places is not None
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -141,30 +170,45 @@ class BucketedTable:
 
     def read(self, only: Sequence[int] | None = None) -> DataFrame:
         """The table, or some of its buckets (other folders are not listed as input)."""
-        rows = self.spark.read.schema(self._stored).parquet(self.folder).where("_live")
-        rows = rows if only is None else rows.where(F.col("_bucket").isin(*only))
-        return rows.select(*self.schema.names)
+        places = self._state().places
+        if places is None:
+            raise LookupError(f"{self.folder} was never written")
+        wanted = range(self.buckets) if only is None else only
+        paths = [f"{self.folder}/_commit={places[b]}/_bucket={b}" for b in wanted if places[b] is not None]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self._stored).option("basePath", self.folder).parquet(*paths)
+        return rows.where("_live").select(*self.schema.names)
 
     def replace(self, rows: DataFrame, only: Sequence[int] | None = None) -> None:
-        """Put the rows in place of the given (by default all) buckets. Their source must not be this folder unless stored.
+        """Put the rows, which may be made from the table's own, in place of the given (by default all) buckets.
 
         A bucket may take a third of the rows: the rebalance lets AQE split it over several files.
         """
-        hidden = self.spark.createDataFrame([(b,) for b in (range(self.buckets) if only is None else only)], "_bucket int")
+        state, replaced = self._state(), range(self.buckets) if only is None else only
+        commit = state.seq + 1
+        hidden = self.spark.createDataFrame([(b,) for b in replaced], "_bucket int")
         hidden = hidden.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema], F.lit(False).alias("_live"), "_bucket")
         live = rows.select(*self.schema.names).withColumns({"_live": F.lit(True), "_bucket": self._bucket()})
-        overwrite_partitions(live.unionByName(hidden).hint("rebalance", "_bucket"), self.folder, ["_bucket"])
-        if only is None:
-            self.log.note(self.log.state().seq + 1, "replace all")
+        out = live.unionByName(hidden).hint("rebalance", "_bucket")
+        out.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.folder}/_commit={commit}")
+        places = list(state.places or [None] * self.buckets)
+        for bucket in replaced:
+            places[bucket] = commit
+        self.log.note(commit, "replace all" if only is None else "replace", places=places, keys=self.keys)
 
     def change(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Rewrite the buckets of the batch's keys with what ``merge`` makes of their rows.
-
-        The new rows are stored before the buckets are replaced, as they are made from them.
-        """
+        """Rewrite the buckets of the batch's keys with what ``merge`` makes of their rows."""
         only = self.touched(batch)
         if only:
-            self.replace(stored(merge(self.read(only))), only)
+            self.replace(merge(self.read(only)), only)
+
+    def unused(self) -> DataFrame:
+        """Folders of earlier commits that no bucket points to any more, one row ``folder`` each."""
+        lines = self.log.read().select("seq", F.posexplode("places").alias("bucket", "commit")).where("commit is not null")
+        used = lines.groupBy("bucket").agg(F.max("commit").alias("commit"))
+        old = lines.select("bucket", "commit").distinct().join(used, ["bucket", "commit"], "left_anti")
+        return old.select(F.concat(F.lit(f"{self.folder}/_commit="), "commit", F.lit("/_bucket="), "bucket").alias("folder"))
 
 
 class HistoryTable:

@@ -7,8 +7,9 @@ Every sink written from a micro-batch goes to a folder of that batch, so a repea
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,29 +115,42 @@ def stream_id(df: DataFrame) -> str:
     return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
 
 
-def write_batch(df: DataFrame, batch_no: int, folder: str) -> None:
+def write_batch(df: DataFrame, batch_no: int, folder: str, kind: str = "parquet", rows_per_file: int | None = None) -> None:
     """Write a micro-batch under its stream and number, replacing an earlier try of the same batch and no other.
 
     Batch numbers start again with a new checkpoint, so a number alone would overwrite what an earlier stream wrote.
     """
-    overwrite_partitions(df.withColumns({STREAM: F.lit(stream_id(df) or "none"), BATCH: F.lit(batch_no)}), folder, [STREAM, BATCH])
+    options = dict(JSON_TIMES) if kind == "json" else {}
+    if rows_per_file is not None:
+        options["maxRecordsPerFile"] = str(rows_per_file)
+    numbered = df.withColumns({STREAM: F.lit(stream_id(df) or "none"), BATCH: F.lit(batch_no)})
+    overwrite_partitions(numbered, folder, [STREAM, BATCH], kind, options)
 
 
 def quarantining(rules: Mapping[str, Column], good_folder: str, bad_folder: str) -> BatchWriter:
-    """Batch writer that keeps good rows and bad rows (with the reason) apart."""
+    """Batch writer that keeps good rows and bad rows (with the reason) apart; the batch is decoded once for both."""
 
     def write(df: DataFrame, batch_no: int) -> None:
-        good, bad = split_valid(df, rules)
-        write_batch(good, batch_no, good_folder)
-        write_batch(bad, batch_no, bad_folder)
+        df = df.persist()
+        try:
+            good, bad = split_valid(df, rules)
+            write_batch(good, batch_no, good_folder)
+            write_batch(bad, batch_no, bad_folder)
+        finally:
+            df.unpersist()
 
     return write
 
 
+def _described(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"
+
+
 def delivering(deliver: BatchWriter, dead_folder: str, attempts: int = 3, pause: float = 2.0) -> BatchWriter:
     """Batch writer that tries ``deliver`` a few times, then puts the batch aside with the error and goes on.
 
-    No row is lost: what could not be delivered lies in ``dead_folder`` under its batch number.
+    For targets that take a batch as a whole; ``sending`` gives up single records. No row is lost: what could not be
+    delivered lies in ``dead_folder`` under its batch number.
     """
 
     def write(df: DataFrame, batch_no: int) -> None:
@@ -144,7 +158,7 @@ def delivering(deliver: BatchWriter, dead_folder: str, attempts: int = 3, pause:
             try:
                 return deliver(df, batch_no)
             except Exception as failure:  # any failure of the target counts as a failed try
-                error = f"{type(failure).__name__}: {failure}"
+                error = _described(failure)
                 if attempt < attempts:
                     time.sleep(pause)
         write_batch(df.withColumns({"error": F.lit(error), "attempts": F.lit(attempts)}), batch_no, dead_folder)
@@ -152,9 +166,40 @@ def delivering(deliver: BatchWriter, dead_folder: str, attempts: int = 3, pause:
     return write
 
 
+def sending(send: Callable[[dict], None], folder: str, attempts: int = 3, pause: float = 2.0) -> BatchWriter:
+    """Batch writer that hands each record to ``send`` inside the tasks, up to ``attempts`` times, and goes on with the next.
+
+    ``folder`` gets every record with ``attempts`` and ``error`` (null: delivered), under its batch number. A task that is
+    repeated sends its records again, so the target has to take a record twice without harm.
+    """
+
+    def outcome(record: dict) -> tuple[int, str | None]:
+        for attempt in range(1, attempts + 1):
+            try:
+                send(record)
+                return attempt, None
+            except Exception as failure:  # as above, but for this record only
+                error = _described(failure)
+                if attempt < attempts:
+                    time.sleep(pause)
+        return attempts, error
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [outcome(record) for record in batch.to_pylist()]
+            added = pa.array([n for n, _ in told], pa.int32()), pa.array([e for _, e in told], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, "attempts", "error"])
+
+    def write(df: DataFrame, batch_no: int) -> None:
+        schema = T.StructType([*df.schema.fields, T.StructField("attempts", T.IntegerType()), T.StructField("error", T.StringType())])
+        write_batch(df.mapInArrow(run, schema), batch_no, folder)
+
+    return write
+
+
 def replacing(folder: str) -> BatchWriter:
-    """Batch writer for complete-mode figures: each batch holds them all and goes under its own number."""
-    return lambda df, batch_no: write_batch(df.withColumn(WRITTEN, F.unix_micros(F.current_timestamp())), batch_no, folder)
+    """Batch writer for complete-mode figures: each batch holds them all, and takes the place of the one before the last."""
+    return lambda df, batch_no: write_batch(df.withColumn(WRITTEN, F.unix_micros(F.current_timestamp())), batch_no % 2, folder)
 
 
 def newest_batch(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:

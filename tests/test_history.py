@@ -12,6 +12,7 @@ from millrace.functions.times import ntz
 from millrace.operators.history import apply_scd2, scd2_changes, start_history, unstamped_updates
 from millrace.operators.merge import any_changed, delete_where, diff_snapshots, merge_changes, merge_scd1, update_where
 from millrace.operators.ordered import next_time_in_key
+from millrace.plans.dimension import run_scd1_batch
 from millrace.session import stored
 from millrace.sources.versions import BucketedTable, HistoryTable, VersionedTable
 from millrace.streaming.dimension import dimension_tables, maintaining
@@ -154,17 +155,67 @@ def test_buckets_rewrite_only_what_is_touched(spark, folder):
     df = spark.range(100).select("id", F.lit("a").alias("name"))
     dim = BucketedTable(spark, folder("dim"), df.schema, KEY, 8)
     dim.replace(df)
-    files = {r[0] for r in spark.read.parquet(dim.folder).select("_metadata.file_path").distinct().collect()}
+    files = set(dim.read().inputFiles())
     batch = df.where("id = 7")
     dim.change(batch, lambda part: delete_where(part, F.col("id") == 7))
     assert rows(dim.read()) == rows(df.where("id <> 7"))
-    later = {r[0] for r in spark.read.parquet(dim.folder).select("_metadata.file_path").distinct().collect()}
+    later = set(dim.read().inputFiles())
     assert len(files - later) == 1 and len(later - files) == 1
+    assert [r.folder for r in dim.unused().collect()] == [f"{dim.folder}/_commit=0/_bucket={dim.touched(batch)[0]}"]
     everything = df.where("id <> 7")
     dim.change(everything, lambda part: part.limit(0))  # emptied buckets are replaced as well
     assert dim.read().count() == 0
 
 
+def test_a_crash_before_the_log_line_leaves_the_table_as_it_was(spark, folder):
+    df = spark.range(100).select("id", F.lit("a").alias("name"))
+    dim = BucketedTable(spark, folder("dim"), df.schema, KEY, 4)
+    dim.replace(df)
+    note = dim.log.note
+
+    def lost(*_, **__):
+        raise OSError("lost the driver")
+
+    dim.log.note = lost
+    gone = df.where("id < 50")
+    with pytest.raises(OSError):
+        dim.change(gone, lambda part: delete_where(part, F.col("id") < 50))
+    dim.log.note = note
+    assert rows(dim.read()) == rows(df)
+    dim.change(gone, lambda part: delete_where(part, F.col("id") < 50))
+    assert rows(dim.read()) == rows(df.where("id >= 50"))
+
+
+def test_other_buckets_or_keys_are_refused(spark, folder):
+    df = spark.range(100).select("id", F.lit("a").alias("name"))
+    BucketedTable(spark, folder("dim"), df.schema, KEY, 16).replace(df)
+    for keys, buckets in ((KEY, 7), (["name"], 16)):
+        dim = BucketedTable(spark, folder("dim"), df.schema, keys, buckets)
+        for use in (dim.read, dim.started, lambda dim=dim: dim.replace(df)):
+            with pytest.raises(ValueError):
+                use()
+
+
+def test_rows_staged_between_merge_and_retry_are_merged(spark, folder):
+    target, staged = (VersionedTable(spark, folder(n)) for n in ("dim", "staging"))
+    target.commit(spark.createDataFrame([(1, "a", DAY[0])], ROW))
+    staged.commit(spark.createDataFrame([(1, "b")], "id bigint, name string"))
+    commit = staged.commit
+
+    def lost(*_):
+        raise OSError("lost the driver")
+
+    staged.commit = lost
+    with pytest.raises(OSError):
+        run_scd1_batch(target, staged, KEY, COLS, F.lit(DAY[1]).cast("timestamp_ntz"))
+    staged.commit = commit
+    staged.commit(staged.read().unionByName(spark.createDataFrame([(2, "c")], "id bigint, name string")))
+    for _ in range(2):
+        run_scd1_batch(target, staged, KEY, COLS, F.lit(DAY[2]).cast("timestamp_ntz"))
+    assert rows(target.read()) == rows(spark.createDataFrame([(1, "b", DAY[1]), (2, "c", DAY[2])], ROW))
+    assert staged.read().count() == 0
+
+
 def test_history_batch_can_be_retried_after_a_crash(spark, folder):
     """The open rows are written twice, or the second half of a batch is missing: the history comes out the same."""
     base = spark.range(40).select("id", F.lit("a").alias("name"))

@@ -81,3 +81,13 @@ def test_many_files_of_pages_are_not_shuffled(spark, folder):
     spark.range(cores * 2).select("id", F.lit("<table><tr><td>1</td></tr></table>").alias("html")).repartition(cores).write.parquet(folder("p"))
     many = spark.read.parquet(folder("p"))
     assert "Exchange" not in plan(table_rows(many, "html"))
+
+
+def test_pages_are_parsed_in_arrow_batches(spark):
+    text = plan(table_rows(spark.read.parquet(f"{SF_DIR}/pages.parquet"), "html"))
+    assert "ArrowEvalPythonUDTF" in text and "BatchEvalPythonUDTF" not in text
+
+
+def test_bucketed_table_has_one_file_per_bucket(spark):
+    save_distributed(spark.range(4000).repartition(20).withColumn("k", F.col("id") % 100), "few_files", "k", "id", 8)
+    assert len(spark.table("few_files").inputFiles()) <= 8

@@ -11,6 +11,7 @@ from millrace.sinks.files import narrow, publish, write_clustered, write_csv, wr
 from millrace.sources.files import (
     FILE,
     PIPE,
+    DelimitedFormat,
     keep_good_rows,
     list_staged,
     load_report,
@@ -150,6 +151,23 @@ def test_names(spark):
     assert snake_names(df).columns == ["order_id", "_city_"] and strip_names(df).columns == ["Order Id", "City"]
 
 
+def test_bad_values_and_documents_raise_or_come_back(spark, folder):
+    spark.createDataFrame([("1,a",), ("x,b",)], "value string").coalesce(1).write.text(folder("csv"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_csv(spark, folder("csv"), "id bigint, name string", DelimitedFormat(header=False)).collect()
+    docs = spark.createDataFrame([(1, '{"a": 1}'), (2, '[{"a": 2}, {"a": 3}]'), (3, "junk"), (4, None)], "id int, doc string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        items(docs, "doc", "a: int").collect()
+    assert sorted((r.id, r.a) for r in items(docs.where("id <> 3"), "doc", "a: int").collect()) == [(1, 1), (2, 2), (2, 3)]
+    assert rows(items(docs.where("id = 3"), "doc", "a: int", tolerant=True)) == [(None, "junk", 3)]
+
+
+def test_clustered_files_hold_ranges(spark, folder):
+    df = spark.range(5000).select((F.col("id") % 5).alias("k"), "id")
+    write_clustered(df, folder("c"), "k", "id")
+    assert spark.read.parquet(folder("c")).count() == 5000
+
+
 # ---------------------------------------------------------------- pages
 
 GRID = (

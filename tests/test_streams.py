@@ -18,6 +18,7 @@ from millrace.streaming.ingest import (
     quarantining,
     replacing,
     rows_read,
+    sending,
     write_batch,
 )
 
@@ -69,6 +70,27 @@ def test_dead_letters_keep_every_row(spark, folder, land):
     assert dead.count() == 10 and rows(dead.select("error", "attempts").distinct()) == [(3, "OSError: gone")]
 
 
+def test_only_the_bad_record_is_given_up(spark, folder, land):
+    land(0, 10)
+
+    def send(record):
+        if record["id"] == 4:
+            raise ValueError("x" * 1000)
+
+    drain(batch_sink(file_stream(spark, folder("landing"), TICK), sending(send, folder("sent"), pause=0.0)), folder("mark"))
+    sent = spark.read.parquet(folder("sent"))
+    assert sent.where("error is null and attempts = 1").count() == 9
+    assert [tuple(r) for r in sent.where("error is not null").select("id", "attempts", "error").collect()] == [(4, 3, "ValueError: " + "x" * 1000)]
+
+
+def test_complete_figures_are_kept_twice_at_most(spark, folder):
+    for n in range(5):
+        replacing(folder("out"))(spark.range(3).withColumn("n", F.lit(n)), n)
+    everything = spark.read.parquet(folder("out"))
+    assert {r.n for r in everything.select("n").distinct().collect()} == {3, 4}
+    assert newest_batch(spark, folder("out"), spark.range(1).withColumn("n", F.lit(1)).schema).select("n").distinct().first()[0] == 4
+
+
 def test_repeated_batch_replaces_itself(spark, folder):
     for _ in range(2):
         write_batch(spark.range(5), 0, folder("main"))
