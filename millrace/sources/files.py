@@ -50,7 +50,7 @@ def read_csv(
     file_format: DelimitedFormat = COMMA,
     sentinels: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Typed CSV; a value that doesn't fit its type, or a row with too many or too few fields, raises.
+    """Typed CSV; a value that doesn't fit its type raises, in columns that the query reads (Spark skips the others).
 
     With sentinels, text is read first, the markers are blanked, then types are cast. To keep bad rows, use ``read_staged``.
     """
