@@ -9,13 +9,12 @@ bytes alone, so equal windows have equal anchors at equal distances. Windows of
 3. Runs of shared anchors are compared by digest, each chunk sending a distinct run once: the later of two equal runs goes.
 4. Where an anchor has runs of several kinds, the windows of the first run of each kind are sorted deep-shallow as
    suffixes (suffixes.py), and of equal windows the first stays. An anchor with very many kinds of runs is dealt out by
-   window instead of by anchor, so that no task gets them all.
+   window instead of by anchor, each distinct window once per chunk, and equal ones are read in order without being held.
 5. Each chunk joins its removed intervals and cuts them out.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -23,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -38,6 +37,8 @@ _FIRST = np.iinfo(np.int64).min
 CHUNK = "chunk bigint, ids array<bigint>, sizes array<bigint>, blob binary"
 RUN = np.dtype([("fp", "<u8"), ("kind", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("pos", "<u4"), ("n", "<u4")])
 SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
+#: What a row of step 4 holds: a run's bytes, one window, spans that are known already.
+_RUNS, _LONE, _DONE = range(3)
 
 
 def _batches(run: Callable[..., Iterator[tuple]], schema: str, rows: int = 64) -> Callable:
@@ -247,40 +248,71 @@ def _spans(run: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def _lone(chunk: int, data: bytes, begins: np.ndarray, ends: np.ndarray, asked: list[tuple[int, int, int]], length: int) -> Iterator[tuple]:
+    """The windows of runs (first window, number, doc) of one chunk, equal ones once; the spans of the later ones."""
+    number = np.array([n for _, n, _ in asked])
+    pos = np.repeat(np.array([at for at, _, _ in asked]) - np.cumsum(number) + number, number) + np.arange(number.sum())
+    doc = np.repeat(np.array([d for _, _, d in asked], np.int64), number)
+    lo = pos - begins[np.searchsorted(ends, pos, "right")]
+    key = Rolling(np.frombuffer(data, np.uint8)).pieces(pos, pos + length)
+    order = np.lexsort((lo, doc, key))
+    pos, doc, lo, key = pos[order], doc[order], lo[order], key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    gone = (doc != doc[head]) | (lo != lo[head])
+    for k in np.flatnonzero(gone).tolist():  # equal hashes are no proof
+        at, first = int(pos[k]), int(pos[head[k]])
+        gone[k] = data[at : at + length] == data[first : first + length]
+    if gone.any():
+        at = np.sort(pos[gone])
+        first = np.concatenate([[0], np.flatnonzero(np.diff(at) != 1) + 1])
+        spans = np.empty(len(first), SPAN)
+        spans["start"], spans["end"] = at[first], at[np.concatenate([first[1:], [len(at)]]) - 1] + length
+        yield chunk, _DONE, chunk, None, None, None, spans.tobytes()
+    stay = ~gone
+    for k, d, x, at in zip(key[stay].view(np.int64).tolist(), doc[stay].tolist(), lo[stay].tolist(), pos[stay].tolist(), strict=True):
+        yield k, _LONE, chunk, d, x, at, data[at : at + length]
+
+
 def _windows(length: int, crowd: int) -> tuple[Callable, Callable]:
-    """Step 4: the bytes of the runs asked for; the windows of the runs that come together, sorted."""
+    """Step 4: the bytes of the runs asked for; the windows of the runs that come together, sorted.
+
+    Runs of one anchor are gathered, at most ``crowd`` of them. Windows of other anchors come one by one, equal ones
+    in order of their documents: each is compared with the first, and none but the first is kept in mind.
+    """
 
     def send(rows: Iterator[tuple]) -> Iterator[tuple]:
         for chunk, sizes, blob, asked in rows:
             data, begins, ends = _unpacked(sizes, blob)
+            crowded = []
             for a in asked:
                 at, n = a["pos"], a["n"]
-                lo = at - int(begins[np.searchsorted(ends, at, "right")])
-                if a["kinds"] <= crowd:
-                    yield a["fp"], chunk, a["doc"], lo, at, data[at : at + n + length - 1]
+                if a["kinds"] > crowd:
+                    crowded.append((at, n, a["doc"]))
                     continue
-                for k in range(n):
-                    window = data[at + k : at + k + length]
-                    key = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "little", signed=True)
-                    yield key, chunk, a["doc"], lo + k, at + k, window
+                lo = at - int(begins[np.searchsorted(ends, at, "right")])
+                yield a["fp"], _RUNS, chunk, a["doc"], lo, at, data[at : at + n + length - 1]
+            if crowded:
+                yield from _lone(chunk, data, begins, ends, crowded, length)
 
     def meet(rows: Iterator[tuple]) -> Iterator[tuple]:
         def out(held: list[tuple]) -> Iterator[tuple]:
-            bodies = [h[5] for h in held]
+            bodies = [h[6] for h in held]
             number = np.array([len(b) - length + 1 for b in bodies])
             base = np.cumsum([0, *map(len, bodies[:-1])])
             owner = np.repeat(np.arange(len(held)), number)
             step = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
             same = classes(b"".join(bodies), base[owner] + step, length)
             many = np.flatnonzero(same >= 0)
-            doc = np.array([h[2] for h in held], np.int64)[owner[many]]
-            lo = np.array([h[3] for h in held], np.int64)[owner[many]] + step[many]
+            doc = np.array([h[3] for h in held], np.int64)[owner[many]]
+            lo = np.array([h[4] for h in held], np.int64)[owner[many]] + step[many]
             order = np.lexsort((lo, doc, same[many]))
             many, doc, lo = many[order], doc[order], lo[order]
             new = np.diff(same[many], prepend=-2) != 0
             head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(many) else many
             gone = np.sort(many[(doc != doc[head]) | (lo != lo[head])])
-            chunk, pos = np.array([h[1] for h in held], np.int64), np.array([h[4] for h in held], np.int64)
+            chunk, pos = np.array([h[2] for h in held], np.int64), np.array([h[5] for h in held], np.int64)
             cuts = np.flatnonzero((np.diff(gone) != 1) | (np.diff(owner[gone]) != 0)) + 1
             spans = np.empty(len(cuts) + 1 if len(gone) else 0, SPAN)
             if len(gone):
@@ -289,16 +321,39 @@ def _windows(length: int, crowd: int) -> tuple[Callable, Callable]:
                 for c, some in _split(spans, chunk[owner[first]]):
                     yield c, some.tobytes()
 
+        def told(later: list[tuple[int, int]]) -> Iterator[tuple]:
+            spans = np.empty(len(later), SPAN)
+            spans["start"] = np.array([at for _, at in later])
+            spans["end"] = spans["start"] + length
+            for c, some in _split(spans, np.array([c for c, _ in later])):
+                yield c, some.tobytes()
+
         now, held, weight = None, [], 0
+        head: tuple | None = None
+        later: list[tuple[int, int]] = []
         for row in rows:
-            if row[0] != now and weight > 4_000_000:
-                yield from out(held)
-                held, weight = [], 0
-            now = row[0]
-            held.append(row)
-            weight += len(row[5])
+            key, what, chunk, doc, lo, pos, body = row
+            if what == _DONE:
+                yield chunk, body
+            elif what == _LONE:
+                if head is None or head[0] != body:
+                    head = body, doc, lo
+                elif head[1:] != (doc, lo):
+                    later.append((chunk, pos))
+                    if len(later) == 4096:
+                        yield from told(later)
+                        later = []
+            else:
+                if key != now and weight > 4_000_000:
+                    yield from out(held)
+                    held, weight = [], 0
+                now = key
+                held.append(row)
+                weight += len(body)
         if held:
             yield from out(held)
+        if later:
+            yield from told(later)
 
     return send, meet
 
@@ -359,8 +414,8 @@ def without_repeats(
     def with_lists(lists: DataFrame, kind: str = "left") -> DataFrame:
         return chunks.join(lists.hint("shuffle_hash"), "chunk", kind)
 
-    def stepped(rows: DataFrame, send: Callable, sent: str, meet: Callable, met: str, key: str) -> DataFrame:
-        dealt = rows.mapInArrow(_batches(send, sent), sent).repartition(n, key).sortWithinPartitions(key)
+    def stepped(rows: DataFrame, send: Callable, sent: str, meet: Callable, met: str, key: str, *order: str | Column) -> DataFrame:
+        dealt = rows.mapInArrow(_batches(send, sent), sent).repartition(n, key).sortWithinPartitions(key, *order)
         return stored(dealt.mapInArrow(_batches(meet, met, 1024), met))
 
     send, meet = _shared(n, length, gram)
@@ -377,9 +432,10 @@ def without_repeats(
     wanted = firsts.join(kinds, "fp").groupBy("chunk").agg(F.collect_list(F.struct("fp", "pos", "n", "doc", "kinds")).alias("asked"))
 
     send, meet = _windows(length, crowd)
-    window = "key bigint, chunk bigint, doc bigint, lo bigint, pos bigint, body binary"
+    window = "key bigint, what int, chunk bigint, doc bigint, lo bigint, pos bigint, body binary"
     rows = with_lists(wanted, "inner").select("chunk", "sizes", "blob", "asked")
-    sorted_ = stepped(rows, send, window, meet, "chunk bigint, spans binary", "key")
+    lone = F.when(F.col("what") == _LONE, F.col("body"))
+    sorted_ = stepped(rows, send, window, meet, "chunk bigint, spans binary", "key", "what", lone, "doc", "lo")
 
     spans = runs.where("spans is not null").select("chunk", "spans").unionByName(sorted_)
     spans = spans.groupBy("chunk").agg(F.collect_list("spans").alias("lists"))

@@ -187,6 +187,36 @@ def test_repeats_of_dense_and_periodic_texts(spark, options):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.left).hexdigest()) for r in found} == removed(rows, 24)
 
 
+def test_crowded_windows_are_sent_once_and_never_gathered():
+    """A passage that many documents have between other texts."""
+    import zstandard
+
+    from millrace.llm.repeats import SPAN, _windows
+
+    length, passage = 24, b"0123456789abcdefghijklmnopqrstuvwxyz"
+    bodies = [b"%05d" % i + passage + b"%05d" % (i * 7) for i in range(50)]
+    send, meet = _windows(length, 1)
+    begins = np.cumsum([0, *(len(b) + 1 for b in bodies[:-1])])
+    asked = [{"fp": 9, "pos": int(b) + 5, "n": len(passage) - length + 1, "doc": i, "kinds": 50} for i, b in enumerate(begins)]
+    sent = list(send(iter([(3, [len(b) for b in bodies], zstandard.ZstdCompressor().compress(b"\n".join(bodies)), asked)])))
+    windows, spans = [r for r in sent if r[1] == 1], [r for r in sent if r[1] == 2]
+    assert len(windows) == len(passage) - length + 1 and {r[3] for r in windows} == {0}
+    found = np.concatenate([np.frombuffer(r[6], SPAN) for r in spans])
+    assert sorted(zip(found["start"].tolist(), found["end"].tolist(), strict=True)) == [(b + 5, b + 5 + len(passage)) for b in begins[1:].tolist()]
+
+    read = []
+
+    def rows():
+        for i in range(100_000):
+            read.append(i)
+            yield 7, 1, i % 10, i, 0, i, passage[:length]
+
+    out = meet(rows())
+    next(out)
+    assert len(read) < 10_000
+    assert sum(len(np.frombuffer(x, SPAN)) for _, x in out) > 90_000
+
+
 @given(st.text("ab", min_size=40, max_size=300), st.sampled_from([8, 16]))
 @settings(max_examples=60, deadline=None)
 def test_suffix_classes(text, shallow):
