@@ -179,3 +179,30 @@ def test_chat(spark):
     assert prefix_tree(turns.where("false"))[0].isEmpty()
     with pytest.raises(ValueError):
         parse("### user\nhi")
+
+
+def test_chat_of_long_conversations(spark, monkeypatch):
+    """One conversation with most rows and branches off it: given in pieces, and read in batches that never hold all of it."""
+    from millrace.llm import chat
+
+    monkeypatch.setattr(chat, "PIECE", 64)
+    turns = lambda conv, n, last="": [(conv, i, ("user", "assistant")[i % 2], f"t{i}" + (last if i == n - 1 else "")) for i in range(n)]
+    rows = turns(None, 1000) + turns(1, 300, "x") + turns(2, 300, "y") + turns(3, 301) + turns(4, 1000) + turns(5, 700, "z")
+    tree, leaves = prefix_tree(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    assert max(len(r.path) for r in leaves.collect()) <= 64
+    found = {r.conv_id: r for r in read_back(tree, leaves).collect()}
+    for conv in (None, 1, 2, 3, 4, 5):
+        own = [r for r in rows if r[0] == conv]
+        assert found[conv].n_turns == len(own)
+        assert found[conv].turns_sha256 == hashlib.sha256("".join(f"{r[2]}\n{r[3]}\n" for r in own).encode()).hexdigest()
+    nodes = {r.start: r for r in tree.collect()}
+    assert len(nodes) == 1003
+    paths = {}
+    for r in sorted(leaves.collect(), key=lambda r: r.piece):
+        paths.setdefault(r.conv_id, []).extend(r.path)
+    for way in paths.values():
+        ancestors, position = set(), 0
+        for start in way:
+            assert {t for a in nodes[start].attend for t in range(a.start, a.end)} == ancestors and nodes[start].position == position
+            ancestors |= set(range(start, start + nodes[start].n_tokens))
+            position += nodes[start].n_tokens
