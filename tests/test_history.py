@@ -284,3 +284,25 @@ def test_late_batch_changes_neither_table(spark, folder):
     open_now = history.read().where("is_current").select("id", "name")
     assert rows(open_now) == rows(current.read().select("id", "name"))
     check(history.read())
+
+
+def test_rows_are_late_by_their_own_time(spark, folder):
+    """Keys whose batch also held later rows of other keys; only a row older than its key's own is put aside."""
+    fields = spark.createDataFrame([], "id bigint, name string").schema
+    current, history = dimension_tables(spark, folder("own"), fields, KEY, 1)
+    write = maintaining(current, history, KEY, COLS)
+
+    def batch(n, *rows_):
+        df = spark.createDataFrame(rows_, "id bigint, name string, hour int")
+        write(df.select("id", "name", F.expr("timestamp_ntz'2024-05-01 00:00:00' + make_dt_interval(0, hour)").alias("loaded_at")), n)
+
+    def names():
+        return {r.id: r.name for r in current.read().collect()}
+
+    batch(0, (1, "a", 10), (2, "a", 12))
+    batch(1, (1, "b", 11), (3, "a", 12))
+    batch(2, (1, "c", 11), (2, "old", 9), (2, "older", 8))
+    assert {r.id: r.name for r in current.read().collect()} == {1: "c", 2: "a", 3: "a"}
+    assert sorted(r.name for r in spark.read.parquet(folder("own") + "/late").collect()) == ["old", "older"]
+    told = history.read().orderBy("id", "start_time").collect()
+    assert [(r.id, r.name, r.is_current) for r in told] == [(1, "a", False), (1, "b", False), (1, "c", True), (2, "a", True), (3, "a", True)]
