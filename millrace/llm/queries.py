@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from millrace.llm import twins
 from millrace.llm.chat import prefix_tree, read_back
 from millrace.llm.exact import exact_dedup
+from millrace.llm.merkle import audited, leaf, manifest
 from millrace.llm.minhash import near_groups
 from millrace.llm.mixing import mixed
+from millrace.llm.negatives import hard_negatives
 from millrace.llm.packing import packed
 from millrace.llm.quality import line_quality
 from millrace.llm.repeats import without_repeats
 from millrace.llm.shards import materialised
+from millrace.llm.text import lower_az
 from millrace.llm.urls import Rule, judged_urls
 from millrace.llm.warc import archived
+from millrace.llm.weighted import as_text, fingerprinted
 from millrace.plans.registry import Query
 
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
 }
 QUERIES: dict[str, Query] = {}
 
@@ -110,3 +115,26 @@ def _(spark, sf_dir):
 @query("op10_mixing", twins.MIXING)
 def _(spark, sf_dir):
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_merkle_manifest", twins.MERKLE)
+def _(spark, sf_dir):
+    columns = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = leaf(list((columns | {"text": lower_az(F.col("text"))}).values()))
+    docs = table(spark, sf_dir, "documents")
+    found = audited(manifest(docs, columns, group="lang", id="doc_id", carried={"tampered": F.when(third, tampered)}), F.coalesce("tampered", "leaf"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op12_hard_negatives", twins.NEGATIVES)
+def _(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), label=label, anchors=F.col("vec_id") % 100 == 0)
+
+
+@query("op13_fingerprints")
+def _(spark, sf_dir):
+    found = fingerprinted(table(spark, sf_dir, "documents"))
+    shown = [as_text(F.col(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return found.select("doc_id", "n_chars", "edited_sha256", *shown, "near_edited", "near_next")

@@ -110,3 +110,85 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
        (size * (floor(expected) + (line AND upto - size / 2 <= target - floor(expected) * source_size)::INT))::BIGINT AS taken
 FROM r
 """
+
+
+def _levels(name: str, n: int) -> str:
+    """Tables {name}0 .. {name}n of nodes (tree, i, node), and {name}s0 .. with what stands left and right of each in its run."""
+    out = []
+    for k in range(n):
+        out.append(f"""{name}c{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{k}),
+{name}s{k} AS (
+  SELECT tree, i, CASE WHEN n > 1 THEN coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+         CASE WHEN n > 1 THEN coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r
+  FROM {name}c{k} WINDOW run AS (PARTITION BY tree, i // 8 ORDER BY i)
+),
+{name}{k + 1} AS (
+  SELECT tree, i // 8 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE max(node) END AS node
+  FROM {name}c{k} GROUP BY tree, i // 8
+)""")
+    return ",\n".join(out)
+
+
+def _folds(name: str, tree: str, i: str, n: int, node: str) -> tuple[str, str, str]:
+    """Joins with the siblings of each level, their proof, and the fold of ``node``."""
+    joins = " ".join(f"JOIN {name}s{k} AS {name}x{k} ON {name}x{k}.tree = {tree} AND {name}x{k}.i = {i} // {8**k}" for k in range(n))
+    proof = " || ".join(f"coalesce({name}x{k}.l || {name}x{k}.r, '')" for k in range(n))
+    for k in range(n):
+        node = f"list_transform([{node}], lambda x: CASE WHEN {name}x{k}.l IS NULL THEN x ELSE sha256({name}x{k}.l || x || {name}x{k}.r) END)[1]"
+    return joins, proof, node
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_DEPTH, _TOP = 7, 2
+_PATHS = _folds("a", "d.tree", "d.i", _DEPTH, "given")
+_TOPS = _folds("b", "''", "t.i", _TOP, "f.folded")
+
+MERKLE = f"""
+WITH read AS (
+  SELECT *, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_leaf("text")} AS leaf,
+         xor(list_reduce(list_prepend(4294967295, [ascii(x) FOR x IN string_split(doc_id::VARCHAR, '')]),
+             lambda c, b: list_reduce([xor(c, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda a, x: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295) AS crc
+  FROM documents
+),
+d AS (
+  SELECT doc_id, tree, leaf, CASE WHEN crc % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE leaf END AS given,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM read
+),
+a0 AS (SELECT tree, i, leaf AS node FROM d),
+{_levels("a", _DEPTH)},
+t AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS i FROM a{_DEPTH}),
+b0 AS (SELECT '' AS tree, i, node FROM t),
+{_levels("b", _TOP)},
+f AS (SELECT d.doc_id, d.tree, d.leaf, {_PATHS[1]} AS proof, {_PATHS[2]} AS folded FROM d {_PATHS[0]})
+SELECT doc_id, leaf, t.node AS subroot, b{_TOP}.node AS root, sha256(proof || {_TOPS[1]}) AS proof_sha256,
+       {_TOPS[2]} AS folded_root, {_TOPS[2]} = b{_TOP}.node AS verified
+FROM f JOIN t USING (tree) CROSS JOIN b{_TOP} {_TOPS[0]}
+"""
+
+NEGATIVES = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS s
+  FROM e AS a JOIN e AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+),
+best AS (SELECT a, b, s FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+ranked AS (
+  SELECT best.a, best.b, best.s, p.b AS nb, p.s AS ns, row_number() OVER (PARTITION BY best.a, best.b ORDER BY p.s DESC, p.b) AS n
+  FROM best JOIN p ON p.a = best.a AND NOT p.same AND 100 * p.s BETWEEN 30 * best.s AND 90 * best.s
+)
+SELECT a AS anchor_id, b AS positive_id, n::INT AS rank, nb AS negative_id, s AS positive_score, ns AS negative_score FROM ranked WHERE n <= 10
+"""
