@@ -16,13 +16,19 @@ GRID_COLUMNS = [
 ]
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Parsing is what costs time: rows in fewer splits than there are cores are dealt out, before pages are made of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _cell(value: Column | str) -> Column:
     return F.concat(F.lit("<td> "), F.col(value).cast("string") if isinstance(value, str) else value, F.lit("\n</td>"))
 
 
 def _grid_pages(spark, sf_dir) -> DataFrame:
     """One page per part: a menu table, then a listing with a header row, a full row and a row with nine cells."""
-    part = table(spark, sf_dir, "part")
+    part = _spread(table(spark, sf_dir, "part"))
     full = [F.lit("*"), F.col("p_partkey").cast("string"), F.concat(F.col("p_name"), F.lit(" &amp; co"))]
     full += [F.col("p_size").cast("string"), F.lit("1"), F.lit("2"), F.lit("3"), F.col("p_type"), F.col("p_brand"), F.lit("")]
     row = F.concat(F.lit("<tr>"), *[_cell(c) for c in full], F.lit("</tr>"))
@@ -53,7 +59,7 @@ def _(spark, sf_dir):
         F.lit("<span id='s'>By market capitalization</span><div><table><tr><th>Bank name</th><th>Market cap</th></tr><tr><td>"),
         F.col("c_name"), F.lit("</td><td>"), F.col("c_acctbal").cast("string"), F.lit("</td></tr></table></div>"),
     )
-    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), F.concat(other, mine, other).alias("html"))
+    pages = _spread(table(spark, sf_dir, "customer")).select(F.col("c_custkey").alias("page_id"), F.concat(other, mine, other).alias("html"))
     rows = table_rows(pages, "html", "By market capitalization").where("row_no > 0")
     return rows.select("page_id", F.col("cells")[0].alias("bank"), F.col("cells")[1].cast("double").alias("market_cap"))
 
@@ -83,7 +89,7 @@ def _car_pages(spark, sf_dir) -> DataFrame:
         )
 
     html = F.concat(F.lit("<body><div class='well'>no card</div>"), card(1), card(2), F.lit("</body>"))
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return _spread(table(spark, sf_dir, "part")).select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 
 
 @query(
@@ -114,5 +120,5 @@ def _(spark, sf_dir):
          SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav>.*?</nav>'), '<li><a[^>]*>[^<]*</a></li>') AS items FROM pages))""",
 )
 def _(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = _spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return cards(pages, "html", "nav li", {"label": "a"})[0]

@@ -1,15 +1,18 @@
 """Rows from stored HTML pages: table grids, a table after a label, and cards.
 
-Spark spreads the pages over tasks and hands them to the table functions in Arrow batches.
+Spark spreads the pages over tasks; a task parses many pages per Arrow batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Elements without an end tag, and elements that end where the next of their kind starts.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -106,49 +109,71 @@ def _table(root: _Element, label: str | None, table: str) -> _Element | None:
     return None
 
 
-@F.udtf(returnType="row_no int, cells array<string>", useArrow=True)
-class TableRows:
-    """Rows of a page's table, cells stripped; header cells count as cells only in header rows."""
+def _table_rows(root: _Element, label: str | None, data_cells_only: bool, table: str) -> Iterator[tuple]:
+    found = _table(root, label, table)
+    if found is None:
+        return
+    kinds = {"td"} if data_cells_only else {"td", "th"}
+    for number, row in enumerate(r for r in found.walk() if r.tag == "tr"):
+        yield number, [c.text() for c in row.children if isinstance(c, _Element) and c.tag in kinds]
+
+
+def _cards(root: _Element, card: str, fields: Mapping[str, str]) -> Iterator[tuple]:
+    for number, found in enumerate(root.select(card)):
+        values, missing = {}, None
+        for name, selector in fields.items():
+            texts = [hit.text() for hit in found.select(selector.removesuffix("[]"))]
+            if selector.endswith("[]"):
+                values[name] = " | ".join(texts)
+            elif texts:
+                values[name] = texts[0]
+            else:
+                missing = missing or f"no {name}"
+        yield number, values, missing
 
-    def eval(self, html: str, label: str, data_cells_only: bool, table: str):
-        found = _table(_parse(html), label, table)
-        if found is None:
-            return
-        kinds = {"td"} if data_cells_only else {"td", "th"}
-        for number, row in enumerate(r for r in found.walk() if r.tag == "tr"):
-            yield number, [c.text() for c in row.children if isinstance(c, _Element) and c.tag in kinds]
 
+#: Rows that are handed back at a time, a page's last rows on top.
+_HANDED_BACK = 4096
 
-@F.udtf(returnType="card_no int, fields map<string,string>, error string", useArrow=True)
-class Cards:
-    """Fields of each card; a field that is not there makes the card an error row.
 
-    ``fields`` maps names to selectors; a selector that ends in ``[]`` joins all matches with `` | ``.
-    """
+def _per_page(pages: DataFrame, html: str, added: T.StructType, rows_of: Callable[[_Element], Iterator[tuple]]) -> DataFrame:
+    """Each page's rows beside its other columns. A page is parsed once; many pages come and go in one Arrow batch."""
+    keep = [c for c in pages.columns if c != html]
+    new = to_arrow_schema(added)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, beside = batch.column(len(keep)), batch.select(range(len(keep)))
+            of_page, found = [], []
 
-    def eval(self, html: str, card: str, fields: dict):
-        for number, found in enumerate(_parse(html).select(card)):
-            values, missing = {}, None
-            for name, selector in fields.items():
-                texts = [hit.text() for hit in found.select(selector.removesuffix("[]"))]
-                if selector.endswith("[]"):
-                    values[name] = " | ".join(texts)
-                elif texts:
-                    values[name] = texts[0]
-                else:
-                    missing = missing or f"no {name}"
-            yield number, values, missing
+            def handed_back() -> pa.RecordBatch:
+                values = zip(*found, strict=True)
+                columns = [pa.array(v, f.type) for v, f in zip(values, new, strict=True)]
+                return pa.RecordBatch.from_arrays([*beside.take(pa.array(of_page)).columns, *columns], names=[*beside.schema.names, *new.names])
+
+            for n, text in enumerate(texts):
+                rows = list(rows_of(_parse(text.as_py())))
+                found += rows
+                of_page += [n] * len(rows)
+                if len(found) >= _HANDED_BACK:
+                    yield handed_back()
+                    of_page, found = [], []
+            if found:
+                yield handed_back()
+
+    schema = T.StructType([*pages.select(*keep).schema.fields, *added.fields])
+    return pages.select(*keep, html).mapInArrow(run, schema)
 
 
 def table_rows(pages: DataFrame, html: str, label: str | None = None, data_cells_only: bool = True, table: str = "table") -> DataFrame:
-    """Each page's table rows beside the page's other columns; with a label, the table that follows it.
+    """Each page's table rows (``row_no``, ``cells``) beside the page's other columns; with a label, the table that follows it.
 
-    ``table`` may name a class too, such as ``table.wide``. Parsing costs far more than moving a page: repartition pages
-    that lie in fewer splits than there are cores.
+    Cells are stripped; header cells count only if ``data_cells_only`` is off. ``table`` may name a class too, such as
+    ``table.wide``. Parsing costs far more than moving a page: repartition pages that lie in fewer splits than there are
+    cores.
     """
-    marker = F.lit(label).cast("string")
-    rows = TableRows(F.col(html).outer(), marker, F.lit(data_cells_only), F.lit(table))
-    return pages.lateralJoin(rows).drop(html)
+    added = T.StructType.fromDDL("row_no int, cells array<string>")
+    return _per_page(pages, html, added, lambda root: _table_rows(root, label, data_cells_only, table))
 
 
 def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1, table: str = "table") -> DataFrame:
@@ -159,9 +184,15 @@ def grid_rows(pages: DataFrame, html: str, names: list[str], first: int = 1, tab
 
 
 def cards(pages: DataFrame, html: str, card: str, fields: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Good cards as columns, and broken cards with the reason."""
-    spec = F.create_map(*[F.lit(x) for pair in fields.items() for x in pair])
-    found = pages.lateralJoin(Cards(F.col(html).outer(), F.lit(card), spec)).drop(html)
+    """Good cards as columns, and broken cards with the reason.
+
+    ``fields`` maps names to selectors; one that ends in ``[]`` joins all matches with `` | ``. A field that is not there
+    makes the card a broken one.
+    """
+    values = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+    added = T.StructType([T.StructField("card_no", T.IntegerType()), T.StructField("fields", values), T.StructField("error", T.StringType())])
+    selectors = dict(fields)
+    found = _per_page(pages, html, added, lambda root: _cards(root, card, selectors))
     keep = [c for c in pages.columns if c != html]
     good = found.where("error is null").select(*keep, "card_no", *[F.col("fields")[n].alias(n) for n in fields])
     return good, found.where("error is not null").select(*keep, "card_no", "error")

@@ -85,7 +85,7 @@ def test_many_files_of_pages_are_not_shuffled(spark, folder):
 
 def test_pages_are_parsed_in_arrow_batches(spark):
     text = plan(table_rows(spark.read.parquet(f"{SF_DIR}/pages.parquet"), "html"))
-    assert "ArrowEvalPythonUDTF" in text and "BatchEvalPythonUDTF" not in text
+    assert "MapInArrow" in text and "UDTF" not in text
 
 
 def test_bucketed_table_has_one_file_per_bucket(spark):
