@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numbers import amount
 from millrace.functions.times import ntz
+from millrace.operators.asof import lookup_as_of
 from millrace.operators.history import (
     apply_scd2,
     closed_rows,
@@ -282,6 +283,18 @@ def _(spark, sf_dir):
     return _shown(versions_of(history_after(spark, sf_dir), "segment", ["BUILDING", "HOUSEHOLD"]))
 
 
+@query(
+    "lookup_as_of",
+    "TBL-16 TBL-21",
+    f"""WITH {_AFTER} SELECT e.event_id, e.user_id, e.ts, h.name, h.segment, h.balance, h.start_time
+        FROM events e LEFT JOIN hist_after h ON h.customer_id = e.user_id AND h.start_time <= e.ts AND e.ts < h.end_time""",
+)
+def _(spark, sf_dir):
+    facts = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    versions = history_after(spark, sf_dir)
+    return lookup_as_of(facts, versions, {"user_id": "customer_id"}, "ts", ["name", "segment", "balance", "start_time"])
+
+
 @query(
     "unstamped_updates",
     "TBL-15 DQ-05",
