@@ -18,6 +18,7 @@ from millrace.plans.weather import STATS_SQL, ticks
 from millrace.session import new_folder, stored
 from millrace.sources.files import list_staged
 from millrace.sources.versions import BucketedTable
+from millrace.streaming.bounded import until
 from millrace.streaming.dimension import dimension_tables, maintaining
 from millrace.streaming.ingest import (
     BATCH,
@@ -31,8 +32,10 @@ from millrace.streaming.ingest import (
     quarantining,
     replacing,
     sending,
+    rows_read,
     write_batch,
 )
+from millrace.streaming.rotation import rotated, stateful_session, writing_files
 
 _TICK = "tick_id bigint, symbol string, price double, timestamp timestamp_ntz"
 
@@ -261,6 +264,74 @@ def _(spark, sf_dir):
     _write_ticks(ticks(spark, sf_dir), landing)
     sink = file_sink(file_stream(spark, landing, _TICK), main, "json", rows_per_file=10_000)
     running = keep_running(sink, mark, every="1 second")
-    running.processAllAvailable()
-    running.stop()
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
     return spark.read.schema(_TICK).json(main)
+
+
+@query(
+    "stream_rotation",
+    "STM-07 SNK-09",
+    """SELECT event_type AS key, reason, CAST(count(DISTINCT n // 100) AS BIGINT) AS n_files, count(*) AS n_records,
+       CAST(SUM(event_id) AS BIGINT) AS id_sum FROM (
+         SELECT event_id, event_type, n, CASE WHEN n // 100 = (total // 100) THEN 'time' ELSE 'size' END AS reason FROM (
+           SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS n,
+                  count(*) OVER (PARTITION BY event_type) AS total FROM events)) GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    """Files of 100 records per symbol; what is left over waits for two seconds. Full files come in event order."""
+    landing, main, mark = (new_folder(spark, n) for n in ("landing", "rotated", "mark"))
+    in_order = ticks(spark, sf_dir).select(F.col("symbol").alias("key"), row_json("tick_id", "price").alias("value"), "tick_id")
+    in_order.coalesce(1).sortWithinPartitions("tick_id").drop("tick_id").write.json(landing)
+    session = stateful_session(spark, partitions=4)
+    stream = file_stream(session, landing, "key string, value string")
+    running = keep_running(batch_sink(rotated(stream, 100, seconds=2.0), writing_files(main)), mark, every="1 second")
+    try:
+        until(session, running, idle=4.0)
+    finally:
+        running.stop()
+    files = spark.read.schema("reason string, value string, key string, file_no bigint").json(main)
+    named = files.withColumn("id", F.get_json_object("value", "$.tick_id").cast("bigint"))
+    return named.groupBy("key", "reason").agg(
+        F.count_distinct("file_no").alias("n_files"), F.count(F.lit(1)).alias("n_records"), F.sum("id").alias("id_sum")
+    )
+
+
+@query("stream_until_idle", "STM-03 STM-04", TICKS_SQL)
+def _(spark, sf_dir):
+    """The stream ends by itself once nothing has come for two seconds; half of the ticks come while it runs."""
+    landing, main, mark = (new_folder(spark, n) for n in ("landing", "main", "mark"))
+    source, early = ticks(spark, sf_dir), F.col("timestamp") < ntz("2024-01-15 00:00:00")
+    _write_ticks(source.where(early), landing)
+    running = keep_running(file_sink(file_stream(spark, landing, _TICK), main), mark, every="500 milliseconds")
+    try:
+        _write_ticks(source.where(~early), landing)
+        until(spark, running, idle=2.0)
+    finally:
+        running.stop()
+    return spark.read.schema(_TICK).parquet(main)
+
+
+@query(
+    "stream_first_n",
+    "STM-03",
+    "SELECT 'messages' AS first_end, TRUE AS enough, 'idle' AS second_end, COUNT(*) AS n_rows, CAST(SUM(event_id) AS BIGINT) AS id_sum FROM events",
+)
+def _(spark, sf_dir):
+    """One consumer stops after a tenth of the messages or more, the next one goes on where it stopped."""
+    landing, main, mark = (new_folder(spark, n) for n in ("landing", "main", "mark"))
+    _write_ticks(ticks(spark, sf_dir).repartition(8, "tick_id"), landing)
+    wanted = spark.read.schema(_TICK).json(landing).count() // 10
+    ends = []
+    for bounds in ({"messages": wanted}, {"idle": 2.0}):
+        stream = file_stream(spark, landing, _TICK, files_per_batch=1)
+        running = keep_running(file_sink(stream, main), mark, every="200 milliseconds")
+        try:
+            ends.append((until(spark, running, **bounds), rows_read(running)))
+        finally:
+            running.stop()
+    (first, read), (second, _) = ends
+    told = spark.read.schema(_TICK).parquet(main).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("tick_id").alias("id_sum"))
+    return told.select(F.lit(first).alias("first_end"), F.lit(read >= wanted).alias("enough"), F.lit(second).alias("second_end"), "n_rows", "id_sum")
