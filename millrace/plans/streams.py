@@ -10,7 +10,22 @@ from millrace.functions.text import move_path, path_value
 from millrace.functions.times import ntz
 from millrace.operators.aggregate import price_stats
 from millrace.operators.merge import merge_scd1
-from millrace.plans.dimension import FIELDS, KEY, LOADED, MERGED, _AFTER, _END, _merged_sql, customers, staged_customers, staging
+from millrace.plans.dimension import (
+    FIELDS,
+    KEY,
+    LOADED,
+    MERGED,
+    REMOVED,
+    _AFTER,
+    _CHANGES,
+    _END,
+    _merged_sql,
+    changes,
+    customers,
+    history,
+    staged_customers,
+    staging,
+)
 from millrace.plans.loads import TICKS_SQL, stage_ticks
 from millrace.plans.registry import query
 from millrace.plans.tables import SCHEMAS, table
@@ -20,8 +35,10 @@ from millrace.sources.files import list_staged
 from millrace.sources.versions import BucketedTable
 from millrace.streaming.bounded import until
 from millrace.streaming.dimension import dimension_tables, maintaining
+from millrace.streaming.feed import ChangeFeed, into_history
 from millrace.streaming.ingest import (
     BATCH,
+    STREAM,
     batch_sink,
     decode,
     drain,
@@ -36,6 +53,7 @@ from millrace.streaming.ingest import (
     write_batch,
 )
 from millrace.streaming.rotation import rotated, stateful_session, writing_files
+from millrace.streaming.windows import setting_late_aside, window_counts
 
 _TICK = "tick_id bigint, symbol string, price double, timestamp timestamp_ntz"
 
@@ -335,3 +353,70 @@ def _(spark, sf_dir):
     (first, read), (second, _) = ends
     told = spark.read.schema(_TICK).parquet(main).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("tick_id").alias("id_sum"))
     return told.select(F.lit(first).alias("first_end"), F.lit(read >= wanted).alias("enough"), F.lit(second).alias("second_end"), "n_rows", "id_sum")
+
+
+def _feed(spark, sf_dir) -> tuple[ChangeFeed, list[DataFrame]]:
+    """An empty feed, and the customers' changes as two commits: what the merge did, then who left."""
+    rows = changes(spark, sf_dir).withColumn("changed_at", ntz(REMOVED))
+    left = (F.col("action") == "DELETE") & ~F.col("is_update")
+    return ChangeFeed(spark, new_folder(spark, "feed"), rows.schema), [rows.where(~left), rows.where(left)]
+
+
+@query("feed_history", "TBL-14 STM-11 TBL-16", f"WITH {_AFTER} SELECT * REPLACE ({_END}) FROM hist_after")
+def _(spark, sf_dir):
+    feed, commits = _feed(spark, sf_dir)
+    kept = dimension_tables(spark, new_folder(spark, "dimension"), customers(spark, sf_dir).select(*KEY, *FIELDS).schema, KEY, buckets=8)[1]
+    kept.start(history(spark, sf_dir), "start")
+    position = new_folder(spark, "position")
+    for number, rows in enumerate(commits):
+        feed.append(rows, number)
+        feed.read_on(into_history(kept, KEY, FIELDS), position)
+    return kept.read().withColumn("end_time", F.date_format("end_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    "feed_readers",
+    "TBL-14 STM-11",
+    f"""WITH {_CHANGES} SELECT reader, action, is_update, COUNT(*) AS n, CAST(SUM(customer_id) AS BIGINT) AS key_sum
+        FROM changes, (VALUES ('early'), ('late')) AS r(reader) GROUP BY ALL""",
+)
+def _(spark, sf_dir):
+    """One reader follows commit by commit, the other comes when all is there; a commit that is repeated is seen once."""
+    feed, commits = _feed(spark, sf_dir)
+    out = {reader: (new_folder(spark, reader), new_folder(spark, "position")) for reader in ("early", "late")}
+
+    def read_on(reader: str) -> None:
+        folder, position = out[reader]
+        feed.read_on(lambda df, batch_no: write_batch(df, batch_no, folder), position)
+
+    for number, rows in enumerate(commits):
+        for _attempt in range(2):
+            feed.append(rows, number)
+        read_on("early")
+    read_on("late")
+    seen = [spark.read.schema(feed.schema).parquet(folder).withColumn("reader", F.lit(reader)) for reader, (folder, _) in out.items()]
+    return seen[0].unionByName(seen[1]).groupBy("reader", "action", "is_update").agg(F.count(F.lit(1)).alias("n"), F.sum("customer_id").alias("key_sum"))
+
+
+@query(
+    "stream_windows",
+    "STM-08 STM-12 AGG-08",
+    """WITH r AS (SELECT event_type AS symbol, date_trunc('hour', ts) AS h, event_type = 'signup' AND ts < TIMESTAMP '2024-01-15' AS late FROM events),
+       m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM events)
+       SELECT symbol, CASE WHEN late THEN NULL ELSE h END AS window_start, late, COUNT(*) AS n
+       FROM r, m WHERE late OR h + INTERVAL 1 HOUR <= mark GROUP BY 1, 2, 3""",
+)
+def _(spark, sf_dir):
+    """Counts per hour; one symbol's ticks of the first half come when their hours are closed."""
+    landing, seen, out, marks, mark = (new_folder(spark, n) for n in ("landing", "seen", "windows", "marks", "mark"))
+    tick = _TICK.replace("timestamp_ntz", "timestamp")
+    source, early, slow = ticks(spark, sf_dir), F.col("timestamp") < ntz("2024-01-15 00:00:00"), F.col("symbol") == "signup"
+    for part in (source.where(early & ~slow), source.where(~early), source.where(early & slow)):
+        part.withColumn("timestamp", F.col("timestamp").cast("timestamp")).write.mode("append").options(**JSON_TIMES).json(landing)
+        drain(batch_sink(file_stream(spark, landing, tick), setting_late_aside("timestamp", "1 hour", "1 hour", seen)), marks)
+        on_time = file_stream(spark, f"{seen}/on_time", f"{tick}, {STREAM} string, {BATCH} bigint", "parquet")
+        drain(file_sink(window_counts(on_time, "timestamp", ["symbol"], "1 hour", "1 hour"), out), mark)
+    counts = spark.read.schema("window_start timestamp, symbol string, n bigint").parquet(out)
+    counts = counts.select("symbol", F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.lit(False).alias("late"), "n")
+    late = spark.read.schema(tick).parquet(f"{seen}/late").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(late.select("symbol", F.lit(None).cast("timestamp_ntz").alias("window_start"), F.lit(True).alias("late"), "n"))
