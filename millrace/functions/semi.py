@@ -11,6 +11,7 @@ JSON_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# The shape of a city document.
 HOURLY_DOCUMENT = (
     "map<string, struct<hourly: struct<"
     "time: array<string>, temperature_2m: array<double>, precipitation: array<double>, "
@@ -42,6 +43,18 @@ def flatten_variant(df: DataFrame, variant: str, path: str, value_type: str, key
     return df.select(*keep, F.explode(members).alias(key, value))
 
 
+def flatten_members(df: DataFrame, variant: str, path: str = "$", outer: bool = False) -> DataFrame:
+    """The frame's columns with ``pos``, ``key`` and ``value``, a row per member of the object (or element of the array, whose
+    key is null) at ``path``.
+
+    Values stay variants, so members may be of any types, nested ones too; a member that is JSON null is a row whose value is
+    the variant null. Rows without members, where the place is missing, null, empty or a plain value, disappear, or stay once
+    with nulls if ``outer``.
+    """
+    tables, value = df.sparkSession.tvf, F.try_variant_get(F.col(variant).outer(), path, "variant")
+    return df.lateralJoin(tables.variant_explode_outer(value) if outer else tables.variant_explode(value))
+
+
 def _read(text: str, schema: str, tolerant: bool) -> Column:
     """Typed JSON text; unreadable text raises, or becomes null when tolerant."""
     return F.from_json(F.col(text), schema, {"mode": "PERMISSIVE" if tolerant else "FAILFAST"})

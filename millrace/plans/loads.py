@@ -41,6 +41,7 @@ from millrace.sources.files import (
     skip_bad_files,
     with_batch,
 )
+from millrace.sources.quoted import read_quoted_csv
 from millrace.sources.tables import bound_query, create_database, create_table, save_table
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -169,6 +170,17 @@ def _(spark, sf_dir):
     return read_csv(spark, folder, "p_partkey bigint, label string, p_retailprice double", DelimitedFormat(lines_in_fields=True))
 
 
+@query("csv_one_large_file", "SRC-04", """SELECT p_partkey, p_name || chr(10) || '"' || p_type || '",' || chr(10) AS label, p_retailprice FROM part""")
+def _(spark, sf_dir):
+    """One file, cut into byte ranges wherever they fall; the ranges are small here, so that small tables have several."""
+    folder = new_folder(spark, "part-file")
+    label = F.concat("p_name", F.lit('\n"'), "p_type", F.lit('",\n')).alias("label")
+    write_csv(table(spark, sf_dir, "part").select("p_partkey", label, "p_retailprice").coalesce(1), folder)
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    return read_quoted_csv(session, folder, "p_partkey bigint, label string, p_retailprice double")
+
+
 @query(
     "csv_sentinels",
     "SRC-02 SRC-01",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import amount, as_double
-from millrace.functions.semi import at, flatten_object, flatten_variant, items, parse
+from millrace.functions.semi import at, flatten_members, flatten_object, flatten_variant, items, parse
 from millrace.functions.times import from_epoch_seconds, ntz, to_epoch_seconds
 from millrace.operators.merge import merge_insert_only
 from millrace.plans.registry import query
@@ -53,6 +53,29 @@ def _(spark, sf_dir):
     return flat.select(from_epoch_seconds(F.get_json_object("doc", "$.timestamp").cast("bigint")).alias("day"), "key", "value")
 
 
+@query(
+    "json_flatten_members",
+    "UDF-04 JOIN-06 F-JSON-04",
+    """WITH c AS (SELECT c_custkey AS customer_id, c_name, c_nationkey AS n, c_mktsegment AS s FROM customer)
+       SELECT customer_id, 'name' AS key, 'STRING' AS kind, '"' || c_name || '"' AS text FROM c WHERE s <> 'MACHINERY'
+       UNION ALL SELECT customer_id, 'nation', 'BIGINT', n::VARCHAR FROM c WHERE s <> 'MACHINERY'
+       UNION ALL SELECT customer_id, 'tags', CASE WHEN n = 0 THEN 'ARRAY<VOID>' ELSE 'ARRAY<VARIANT>' END,
+                        CASE WHEN n = 0 THEN '[]' ELSE '["' || s || '",' || n || ']' END FROM c WHERE s <> 'MACHINERY'
+       UNION ALL SELECT customer_id, 'more', 'OBJECT<a: OBJECT<>, b: BOOLEAN>', '{"a":{},"b":true}' FROM c WHERE s <> 'MACHINERY'
+       UNION ALL SELECT customer_id, 'none', 'VOID', 'null' FROM c WHERE s <> 'MACHINERY'
+       UNION ALL SELECT customer_id, NULL, NULL, NULL FROM c WHERE s = 'MACHINERY'""",
+)
+def _(spark, sf_dir):
+    """Members of any type; a document without members stays as a row."""
+    tags = F.when(F.col("c_nationkey") == 0, F.lit("[]")).otherwise(F.concat(F.lit('["'), "c_mktsegment", F.lit('",'), F.col("c_nationkey").cast("string"), F.lit("]")))
+    parts = ['{"doc":{"name":"', F.col("c_name"), '","nation":', F.col("c_nationkey").cast("string"), ',"tags":', tags, ',"more":{"b":true,"a":{}},"none":null}}']
+    whole = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    doc = F.when(F.col("c_mktsegment") == "MACHINERY", F.lit('{"doc":{}}')).otherwise(whole)
+    docs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), parse(doc).alias("v"))
+    members = flatten_members(docs, "v", "$.doc", outer=True)
+    return members.select("customer_id", "key", F.schema_of_variant("value").alias("kind"), F.to_json("value").alias("text"))
+
+
 def stage_rates(raw: DataFrame) -> DataFrame:
     """RAW rows whose document time is their load time, as one row per currency."""
     stamped = raw.withColumn("timestamp_utc", from_epoch_seconds(at(F.col("response_raw"), "$.timestamp", "bigint")))

@@ -16,7 +16,8 @@ FILE = "_file"
 
 @dataclass(frozen=True)
 class DelimitedFormat:
-    """A named file format. With ``lines_in_fields`` quoted fields may hold line breaks; such a file is read by one task."""
+    """A named file format. With ``lines_in_fields`` quoted fields may hold line breaks; such a file is read by one task
+    (``read_quoted_csv`` reads it by many)."""
 
     separator: str = ","
     header: bool = True
