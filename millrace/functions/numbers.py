@@ -78,12 +78,64 @@ class Amount:
 def amount(col: Column | str, digits: int = 2) -> Amount:
     """The column, whose values have at most that many digits, as an exact amount; a value with more raises an error.
 
-    A thousandth of the last digit is allowed for, since a double holds most decimal fractions only nearly.
+    A thousandth of the last digit is allowed for, or four steps between neighbouring doubles where these are larger, since
+    a double holds most decimal fractions only nearly. For values of unknown digits use ``floating``.
     """
     scaled = (F.col(col) if isinstance(col, str) else col) * F.lit(float(10**digits))
     nearest = F.rint(scaled)
     cut = F.raise_error(F.concat(F.lit(f"more than {digits} digits after the point: "), (scaled / F.lit(float(10**digits))).cast("string")))
-    return Amount(F.when(F.abs(scaled - nearest) > F.lit(1e-3), cut.cast("bigint")).otherwise(nearest.cast("bigint")), digits)
+    allowed = F.greatest(F.lit(1e-3), F.abs(scaled) * F.lit(2.0**-50))
+    return Amount(F.when(F.abs(scaled - nearest) > allowed, cut.cast("bigint")).otherwise(nearest.cast("bigint")), digits)
+
+
+_LIMB = float(2**30)
+
+
+@dataclass(frozen=True)
+class Floating:
+    """A double of any digits, summed so that the order of the rows makes no difference.
+
+    Each value is cut, without loss, into four whole numbers of about 30 bits that count multiples of 2**30, 1, 2**-30 and 2**-60,
+    and these are summed as longs: exact for 2**33 rows per group. What lies below 2**-61 is rounded off per row.
+    Groups with a value of 2**60 or more, or one that isn't a number, have Spark's own sum, whose last digits depend on the
+    order.
+    """
+
+    values: Column
+
+    def when(self, test: Column) -> Floating:
+        return Floating(F.when(test, self.values))
+
+    def _limbs(self) -> list[Column]:
+        x = self.values.cast("double")
+        steps = [F.rint(x * F.lit(_LIMB**k)) for k in (-1, 0, 1, 2)]
+        parts = [steps[0], *(low - high * F.lit(_LIMB) for high, low in zip(steps, steps[1:], strict=False))]
+        return [F.when(F.abs(x) < F.lit(2.0**60), p).cast("bigint") for p in parts]
+
+    def sum(self) -> Column:
+        """Aggregate: the sum, as a double; null when every row is null."""
+        high, ones, low, least = (F.sum(part).cast("decimal(20,0)") for part in self._limbs())
+        limb = F.lit(2**30)
+        above, below = (high * limb + ones).cast("double"), (low * limb + least).cast("double") * F.lit(_LIMB**-2)
+        # also true of infinities and of NaN, which is greater than any number
+        large = F.max(F.abs(self.values.cast("double"))) >= F.lit(2.0**60)
+        return F.when(large, F.sum(self.values.cast("double"))).otherwise(above + below) + F.lit(0.0)
+
+    def mean(self) -> Column:
+        """Aggregate: the mean over non-null rows, as a double; null when there are none."""
+        return F.try_divide(self.sum(), F.count(self.values))
+
+    def rounded_sum(self, digits: int) -> Column:
+        """Aggregate: the sum rounded half up, as a double."""
+        return F.round(self.sum(), digits)
+
+    def rounded_mean(self, digits: int) -> Column:
+        """Aggregate: the mean rounded half up, as a double."""
+        return F.round(self.mean(), digits)
+
+
+def floating(col: Column | str) -> Floating:
+    return Floating(F.col(col) if isinstance(col, str) else col)
 
 
 def in_units(total: Column, digits: int) -> Column:

@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import Amount, amount, as_double, in_units
+from millrace.functions.numbers import Amount, Floating, amount, as_double, floating, in_units
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], what: Amount, name: str) -> DataFrame:
+def sum_by(df: DataFrame, keys: Sequence[str], what: Amount | Floating, name: str) -> DataFrame:
     return df.groupBy(*keys).agg(what.sum().alias(name))
 
 
@@ -40,14 +40,16 @@ def growth(df: DataFrame, key: str, what: Amount, year: Column, first: int, seco
     )
 
 
-def price_stats(df: DataFrame, key: str, price: str, digits: int = 2) -> DataFrame:
+def price_stats(df: DataFrame, key: str, price: str, digits: int | None = None) -> DataFrame:
     """Count, mean, least and greatest price per key; the same code serves batch and stream.
 
-    ``digits`` are those that prices have; a price with more raises an error instead of being cut.
+    Prices may have any digits. Where they are known to have at most ``digits``, the mean is that of the decimal numbers,
+    and a price with more raises an error.
     """
+    what = floating(price) if digits is None else amount(price, digits)
     return df.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        amount(price, digits).mean().alias("avg_price"),
+        what.mean().alias("avg_price"),
         as_double(F.min(price)).alias("min_price"),
         as_double(F.max(price)).alias("max_price"),
     )
@@ -68,7 +70,7 @@ def shares(df: DataFrame, column: str) -> DataFrame:
     return counts.select(column, "n", F.round(F.col("n") * F.lit(100) / total, 1).cast("double").alias("percent"))
 
 
-def mean_by(df: DataFrame, key: str, what: Amount, name: str) -> DataFrame:
+def mean_by(df: DataFrame, key: str, what: Amount | Floating, name: str) -> DataFrame:
     """Mean per non-null key over non-null values."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(what.mean().alias(name))
 

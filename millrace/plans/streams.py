@@ -92,7 +92,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     landing, out, mark = (new_folder(spark, n) for n in ("landing", "stats", "mark"))
     _write_ticks(ticks(spark, sf_dir), landing)
-    stats = price_stats(file_stream(spark, landing, _TICK), "symbol", "price")
+    stats = price_stats(file_stream(spark, landing, _TICK), "symbol", "price", digits=2)
     drain(batch_sink(stats, replacing(out), "complete"), mark)
     return newest_batch(spark, out, stats.schema)
 

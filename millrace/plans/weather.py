@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import amount, as_double, round_half_up
+from millrace.functions.numbers import amount, as_double, floating, round_half_up
 from millrace.functions.semi import hourly_rows
 from millrace.operators.aggregate import price_stats
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 
 
+# Labels and their thresholds.
 def weather_label(rain: Column, mean_temp: Column) -> Column:
     """Label of a day from its rounded figures; a null figure passes no threshold."""
     return F.when(rain > 5, "Rainy").when(mean_temp > 30, "Hot").when(mean_temp < 5, "Cold").otherwise("Mild")
 
 
-def daily_summary(hourly: DataFrame) -> DataFrame:
-    """One row per city and day; all cities in one job. Rain over only-null readings is 0, as pandas sums."""
-    t, rain, wind, damp = (amount(c, 4) for c in ("temperature", "precipitation", "windspeed", "humidity"))
+def daily_summary(hourly: DataFrame, digits: int | None = None) -> DataFrame:
+    """One row per city and day; all cities in one job. Rain over only-null readings is 0, as pandas sums.
+
+    Readings may have any digits. With ``digits``, those that they have at most, figures are those of the decimal numbers, so
+    that ties are rounded by what was written, not by the double next to it.
+    """
+    columns = "temperature", "precipitation", "windspeed", "humidity"
+    t, rain, wind, damp = (floating(c) if digits is None else amount(c, digits) for c in columns)
     daily = hourly.groupBy("city", F.to_date("datetime").alias("date")).agg(
         t.rounded_mean(2).alias("avg_temp_c"),
         round_half_up(as_double(F.max("temperature")), 2).alias("max_temp_c"),
@@ -71,7 +77,7 @@ _DAILY = f"""daily AS (
 
 @query("daily_summary", "AGG-09 F-DT-02 F-CND-02 SET-02 UDF-02 F-MATH-02", f"WITH {_DAILY} SELECT * FROM daily")
 def _(spark, sf_dir):
-    return daily_summary(_readings(spark, sf_dir))
+    return daily_summary(_readings(spark, sf_dir), digits=4)
 
 
 @query(
@@ -87,7 +93,7 @@ def _(spark, sf_dir):
         FROM daily GROUP BY city""",
 )
 def _(spark, sf_dir):
-    return city_report(daily_summary(_readings(spark, sf_dir)))
+    return city_report(daily_summary(_readings(spark, sf_dir), digits=4))
 
 
 def _city_documents(spark, sf_dir) -> DataFrame:
@@ -131,7 +137,7 @@ def _(spark, sf_dir):
                    WHEN round(CAST(t / n AS DECIMAL(28,10)), 2) < 5 THEN 'Cold' ELSE 'Mild' END AS weather_label FROM g""",
 )
 def _(spark, sf_dir):
-    return daily_summary(hourly_rows(_city_documents(spark, sf_dir), "doc"))
+    return daily_summary(hourly_rows(_city_documents(spark, sf_dir), "doc"), digits=4)
 
 
 # ---------------------------------------------------------------- ticks: event type = symbol, value = price
@@ -149,7 +155,7 @@ STATS_SQL = """SELECT event_type AS symbol, COUNT(*) AS n_rows, CAST(SUM(CAST(va
 
 @query("symbol_stats", "AGG-08 SRT-01", STATS_SQL)
 def _(spark, sf_dir):
-    return price_stats(ticks(spark, sf_dir), "symbol", "price").orderBy("symbol")
+    return price_stats(ticks(spark, sf_dir), "symbol", "price", digits=2).orderBy("symbol")
 
 
 @query(
@@ -165,6 +171,22 @@ def _(spark, sf_dir):
     return price_stats(fine, "symbol", "price", digits=6)
 
 
+@query(
+    "symbol_means_any_digits",
+    "AGG-08 AGG-11 AGG-15",
+    """WITH p AS (SELECT event_type AS symbol, unnest([value / 7, value * 1e10 / 3, value * 1e-9 / 11]) AS x, unnest([1, 2, 3]) AS scale FROM events),
+       t AS (SELECT symbol, scale, sum(round_even(x, 0)::HUGEINT) AS ones, count(x) AS n,
+                    sum((round_even(x * 1152921504606846976.0, 0) - round_even(x, 0) * 1152921504606846976.0)::HUGEINT) AS rest FROM p GROUP BY 1, 2)
+       SELECT symbol, scale, (ones::DOUBLE + rest::DOUBLE / 1152921504606846976.0) / n AS mean FROM t""",
+)
+def _(spark, sf_dir):
+    """Means of sevenths, of some ten thousand millions, and of millionths of thousandths: no number of digits fits them all."""
+    p = F.col("price")
+    scaled = F.array(*[F.struct(F.lit(n).alias("scale"), v.alias("x")) for n, v in ((1, p / 7), (2, p * F.lit(1e10) / 3), (3, p * F.lit(1e-9) / 11))])
+    values = ticks(spark, sf_dir).select("symbol", F.inline(scaled))
+    return values.groupBy("symbol", "scale").agg(floating("x").mean().alias("mean"))
+
+
 @query(
     "rows_per_load",
     "AGG-12 SRT-01",
