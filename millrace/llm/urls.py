@@ -2,7 +2,8 @@
 
 Rules (allow or block a host with its subdomains, from a path on) decide first. The others are judged by the template that
 their path falls under. Level by level, the values of a path segment below one template are counted: values that hold
-enough of its rows stay as branches, all others become a wildcard. Branches that are alike, in the share of labelled rows
+enough of its rows stay as branches, and so do those, however few, whose share of bad rows is clearly another than that of
+the rest; all others become a wildcard. Large branches that are alike, in the share of labelled rows
 that are bad and in the share of paths that end there, are merged into one. A template is rejected when the share of bad
 rows among its labelled ones, smoothed towards its host's and the host's towards that of all hosts, is too high.
 """
@@ -11,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.text import LOWER, UPPER
@@ -32,9 +34,9 @@ class Rule:
 
 @dataclass(frozen=True)
 class TreeOptions:
-    """A value stays a branch with at least ``branch_rows`` rows and ``branch_share`` of its parent's, so a parent has at
-    most 1 / branch_share of them. ``levels`` segments are told apart, the rest of a path counts as one. Branches are alike
-    within ``z`` standard errors. ``weight`` is the number of labelled rows that a host's share counts for in a template,
+    """A value stays a branch with at least ``branch_rows`` rows and ``branch_share`` of its parent's, or when its share of bad
+    rows is more than ``z`` standard errors away from that of its parent's other rows. Rows without labels are told
+    apart by ``levels`` segments, others as long as good and bad ones are mixed. Branches are alike within ``z`` standard errors. ``weight`` is the number of labelled rows that a host's share counts for in a template,
     and that of all hosts in a host; ``reject`` the share of bad rows from which on a template is rejected."""
 
     levels: int = 4
@@ -61,43 +63,68 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def _share_gap(a: Column, na: Column, b: Column, nb: Column) -> Column:
-    """Standard errors between two shares, 0 where one of them has no rows."""
-    p = (a + b) / (na + nb)
-    spread = F.sqrt(p * (1 - p) * (1 / na + 1 / nb))
-    return F.when((na > 0) & (nb > 0) & (spread > 0), F.abs(a / na - b / nb) / spread).otherwise(F.lit(0.0))
+def _share_gap(a: Column, na: Column, b: Column, nb: Column, corrected: bool = False) -> Column:
+    """Standard errors between two shares, 0 where one of them has no rows; ``corrected`` for shares of few rows."""
+    p = F.try_divide(a + b, na + nb)
+    parts = F.try_divide(F.lit(1), na) + F.try_divide(F.lit(1), nb)
+    spread = F.sqrt(p * (1 - p) * parts)
+    apart = F.abs(F.try_divide(a, na) - F.try_divide(b, nb)) - (F.lit(0.5) * parts if corrected else F.lit(0.0))
+    # null where a side has no rows, or where all rows are alike
+    return F.coalesce(F.try_divide(apart, spread), F.lit(0.0))
+
+
+_PARENT = ["host", "template"]
+
+
+def _next_level(rows: DataFrame, level: int, options: TreeOptions) -> DataFrame:
+    """``rows`` with the next segment in their templates."""
+    here = rows.where(F.size("_segments") >= level).withColumn("_value", F.col("_segments")[level - 1])
+    ends = F.sum(F.when(F.size("_segments") == level, F.col("n")).otherwise(0))
+    figures = ("n", "good", "bad", "ends")
+    values = stored(here.groupBy(*_PARENT, "_value").agg(*(F.sum(c).alias(c) for c in figures[:3]), ends.alias("ends")))
+    whole = values.groupBy(*_PARENT).agg(*(F.sum(c).alias(f"_all_{c}") for c in figures))
+    rest = {c: F.col(f"_all_{c}") - F.col(c) for c in figures}
+    labelled, rest_labelled = F.col("good") + F.col("bad"), rest["good"] + rest["bad"]
+    shares = F.col("bad"), labelled, rest["bad"], rest_labelled
+    enough = (F.col("n") >= options.branch_rows) & (F.col("n") >= options.branch_share * F.col("_all_n"))
+    alike = F.greatest(_share_gap(*shares), _share_gap(F.col("ends"), F.col("n"), rest["ends"], rest["n"])) <= options.z
+    branches = values.join(whole, _PARENT).select(
+        *_PARENT, "_value", (enough & alike).alias("_alike"), (enough | (_share_gap(*shares, corrected=True) > options.z)).alias("_stays")
+    )
+    branches = stored(branches.where("_stays").drop("_stays"))
+    # at most 1 / branch_share of them per parent
+    merged = branches.where("_alike").groupBy(*_PARENT).agg(F.array_sort(F.collect_set("_value")).alias("_merged"))
+    merged = merged.select(*_PARENT, F.lit(True).alias("_alike"), F.concat(F.lit("{"), F.concat_ws("|", "_merged"), F.lit("}")).alias("_set"), F.size("_merged").alias("_size"))
+    name = F.when(F.col("_size") > 1, F.col("_set")).otherwise(F.col("_value"))
+    branches = branches.join(merged, [*_PARENT, "_alike"], "left").select(*_PARENT, "_value", name.alias("_name"))
+    named = rows.withColumn("_value", F.get("_segments", F.lit(level - 1))).join(branches, [*_PARENT, "_value"], "left")
+    step = F.when(F.col("_value").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("_name", F.lit("*"))))
+    return stored(named.withColumn("template", F.concat("template", step)).drop("_value", "_name"))
 
 
 def templates(paths: DataFrame, options: TreeOptions) -> DataFrame:
-    """``paths`` (host, form, n, good, bad; one row per host and form) with the template of each."""
-    segments = F.split(F.regexp_replace("form", "^/", ""), "/", options.levels)
+    """``paths`` (host, form, n, good, bad; one row per host and form) with the template of each.
+
+    Below a host's first segments, templates whose labelled rows agree aren't told apart any further, and after ``levels``
+    segments neither are those without any: parts of them could only differ in how few rows they have. Where good and bad
+    rows are mixed, paths are followed to their ends. What isn't told apart any more is one ``*``.
+    """
+    segments = F.split(F.regexp_replace("form", "^/", ""), "/")
     rows = stored(paths.withColumn("_segments", segments).withColumn("template", F.lit("")))
-    parent = ["host", "template"]
-    for level in range(1, options.levels + 1):
-        here = rows.where(F.size("_segments") >= level).withColumn("_value", F.col("_segments")[level - 1])
-        ends = F.sum(F.when(F.size("_segments") == level, F.col("n")).otherwise(0))
-        values = here.groupBy(*parent, "_value").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")), ends.alias("ends"))
-        values = stored(values)
-        whole = values.groupBy(*parent).agg(F.sum("n").alias("_all"))
-        enough = (F.col("n") >= options.branch_rows) & (F.col("n") >= options.branch_share * F.col("_all"))
-        branches = values.join(whole, parent).where(enough)
-        # at most 1 / branch_share rows per parent from here on
-        others = Window.partitionBy(*parent)
-        rest = {c: F.sum(c).over(others) - F.col(c) for c in ("n", "good", "bad", "ends")}
-        labelled, rest_labelled = F.col("good") + F.col("bad"), rest["good"] + rest["bad"]
-        gap = F.greatest(
-            _share_gap(F.col("bad"), labelled, rest["bad"], rest_labelled), _share_gap(F.col("ends"), F.col("n"), rest["ends"], rest["n"])
-        )
-        alike = Window.partitionBy(*parent, "_alike")
-        branches = branches.withColumn("_alike", gap <= options.z)
-        merged = F.concat_ws("|", F.array_sort(F.collect_set("_value").over(alike)))
-        name = F.when(F.col("_alike") & (F.count(F.lit(1)).over(alike) > 1), F.concat(F.lit("{"), merged, F.lit("}"))).otherwise(F.col("_value"))
-        branches = stored(branches.withColumn("_name", name).select(*parent, "_value", "_name"))
-        named = rows.withColumn("_value", F.col("_segments").getItem(level - 1) if level == 1 else F.get("_segments", F.lit(level - 1)))
-        named = named.join(branches, [*parent, "_value"], "left")
-        step = F.when(F.col("_value").isNull(), F.lit("")).otherwise(F.concat(F.lit("/"), F.coalesce("_name", F.lit("*"))))
-        rows = stored(named.withColumn("template", F.concat("template", step)).drop("_value", "_name"))
-    return rows.drop("_segments")
+    done, level = [], 0
+    while True:
+        level += 1
+        deeper = F.size("_segments") >= level
+        if level > 1:
+            sums = rows.groupBy(*_PARENT).agg(F.sum("good").alias("_g"), F.sum("bad").alias("_b"))
+            unknown = (F.col("_g") + F.col("_b") == 0) & F.lit(level <= options.levels)
+            mixed = sums.where((F.col("_g") > 0) & (F.col("_b") > 0) | unknown)
+            rows = stored(rows.join(mixed.select(*_PARENT, F.lit(True).alias("_mixed")), _PARENT, "left").withColumn("_goes_on", deeper & F.col("_mixed").isNotNull()).drop("_mixed"))
+            done.append(rows.where("not _goes_on").withColumn("template", F.concat("template", F.when(deeper, "/*").otherwise(""))).drop("_goes_on"))
+            rows = rows.where("_goes_on").drop("_goes_on")
+        if rows.where(deeper).isEmpty():
+            return reduce(DataFrame.unionByName, done, rows).drop("_segments")
+        rows = _next_level(rows, level, options)
 
 
 def judged_urls(

@@ -11,6 +11,7 @@ import pytest
 from conftest import SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import suffixes, tokens
@@ -236,38 +237,64 @@ def test_suffix_classes(text, shallow):
 
 def plain_templates(rows, o):
     """host, path, good, bad of each row -> template of each, level by level."""
-    forms = [(h, re.sub("[0-9]+", "#", p).removeprefix("/").split("/", o.levels - 1)) for h, p, _, _ in rows]
-    templates = ["" for _ in rows]
-    for level in range(o.levels):
+    forms = [(h, re.sub("[0-9]+", "#", p).removeprefix("/").split("/")) for h, p, _, _ in rows]
+    templates, going = ["" for _ in rows], set(range(len(rows)))
+    level = 0
+    while True:
+        by = defaultdict(list)
+        for k in going:
+            by[forms[k][0], templates[k]].append(k)
+        if level:
+            for ks in by.values():
+                good, bad = (any(rows[k][c] for k in ks) for c in (2, 3))
+                on = (good and bad) or (not good and not bad and level < o.levels)
+                for k in ks:
+                    if len(forms[k][1]) <= level or not on:
+                        templates[k] += "/*" if len(forms[k][1]) > level else ""
+                        going.remove(k)
         below = defaultdict(lambda: defaultdict(list))
-        for k, (h, segments) in enumerate(forms):
+        for k in going:
+            h, segments = forms[k]
             if len(segments) > level:
                 below[h, templates[k]][segments[level]].append(k)
+        if not below:
+            return templates
         for values in below.values():
-            whole = sum(map(len, values.values()))
-            stay = {v: ks for v, ks in values.items() if len(ks) >= o.branch_rows and len(ks) >= o.branch_share * whole}
             figures = {
                 v: np.array([sum(rows[k][3] for k in ks), sum(rows[k][2] + rows[k][3] for k in ks), sum(len(forms[k][1]) == level + 1 for k in ks), len(ks)])
-                for v, ks in stay.items()
+                for v, ks in values.items()
             }
-            total = sum(figures.values()) if figures else 0
+            total = sum(figures.values())
 
-            def gap(a, na, b, nb):
+            def gap(a, na, b, nb, corrected=False):
                 p = (a + b) / (na + nb) if na and nb else 0
                 s = (p * (1 - p) * (1 / na + 1 / nb)) ** 0.5 if na and nb else 0
-                return abs(a / na - b / nb) / s if s > 0 else 0
+                return (abs(a / na - b / nb) - corrected * 0.5 * (1 / na + 1 / nb)) / s if s > 0 else 0
 
-            alike = [v for v, f in figures.items() if max(gap(f[0], f[1], *(total - f)[:2]), gap(f[2], f[3], *(total - f)[2:])) <= o.z]
+            large = {v for v, f in figures.items() if f[3] >= o.branch_rows and f[3] >= o.branch_share * total[3]}
+            stay = large | {v for v, f in figures.items() if gap(f[0], f[1], *(total - f)[:2], True) > o.z}
+            alike = [v for v in large if max(gap(*figures[v][:2], *(total - figures[v])[:2]), gap(*figures[v][2:], *(total - figures[v])[2:])) <= o.z]
             for v, ks in values.items():
                 name = "*" if v not in stay else "{" + "|".join(sorted(alike)) + "}" if v in alike and len(alike) > 1 else v
                 for k in ks:
                     templates[k] += "/" + name
-    return templates
+        level += 1
 
 
-def test_url_templates(spark):
-    from pyspark.sql import functions as F
+def test_urls_are_told_apart_at_any_depth_and_in_any_number(spark):
+    """Bad sections below a path of common segments, and one bad section of a hundred on one host."""
+    rows = [(f"http://deep.net/a/b/c/{kind}/x{n:x}y/z", int(kind == "spam")) for kind in ("spam", "news") for n in range(1000)]
+    rows += [(f"http://wide.net/s{chr(97 + s // 10)}{chr(97 + s % 10)}/x{n:x}y", int(s == 42)) for s in range(100) for n in range(60)]
+    rows = [(i, u, label if i % 3 else None) for i, (u, label) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, bad int")
+    options = TreeOptions()
+    found = {r.page_id: r for r in judged_urls(df, label=F.col("bad"), options=options).collect()}
+    assert {(r.verdict == "block") == ("/spam/" in r.path or "/sec/" in r.path) for r in found.values()} == {True}
+    plain = [(u.split("/")[2], "/" + u.split("/", 3)[3], int(b == 0), int(b == 1)) for _, u, b in rows]
+    assert [found[i].template for i in range(len(rows))] == plain_templates(plain, options)
+
 
+def test_url_templates(spark):
     rng = np.random.default_rng(2)
     rows = []
     for i in range(3000):
