@@ -118,8 +118,13 @@ def _by_text(placed: DataFrame, keys: DataFrame, clashes: DataFrame, id: str, te
 
 
 def without_copies(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    placed = with_place(docs)
-    decided = _decided(placed.select(id, text, "_file", "_row"), id, text)
+    """The rows of ``docs`` that stay, with their columns, whatever these are called.
+
+    Of equal texts (null is empty) the row with the greatest id stays, a null id counting as smallest; of repeated rows with that
+    id one stays. An empty table stays empty.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    placed = with_place(docs.select(whole, F.col(id).alias("_id"), F.col(text).alias("_text")))
+    decided = _decided(placed.select("_id", "_text", "_file", "_row"), "_id", "_text")
     gone = stored(decided.where("not kept").select(F.col("file").alias("_file"), F.col("row").alias("_row")))
-    return placed.join(gone, ["_file", "_row"], "left_anti").select(*docs.columns)
+    return placed.join(gone, ["_file", "_row"], "left_anti").select("_whole.*")

@@ -175,7 +175,10 @@ def near_groups(
 
     same_id = known.select(F.col("doc_id").alias("a"), "digest").join(nodes.select("digest", F.col("label").alias("b")), "digest").where("a <> b")
     links = same_id.select("a", "b").join(nodes.select(F.col("label").alias("a")).distinct(), "a")
-    roots = stored(components(links))
+    # an id over several texts links their labels, also where it is the label of none
+    several = same_id.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")).where("least <> most")
+    across = same_id.join(several, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    roots = stored(components(links.unionByName(across)))
     members, centres = stored(_relabelled(members, roots)), 1
     while True:
         mixed_buckets = members.groupBy("bucket").agg(F.min("label").alias("_l"), F.max("label").alias("_h")).where("_l <> _h").select("bucket")
@@ -220,6 +223,12 @@ def _joined(roots: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, *, id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, one document per group, with their columns. Rows without an id stay."""
-    gone = stored(near_groups(docs, id=id, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col(id) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, one document per group, with their columns, whatever these are called.
+
+    Rows without an id stay, and so do rows without words; repeated rows are one document, which stays or goes as a whole.
+    """
+    name = "_gone"
+    while name in docs.columns:
+        name += "_"
+    gone = stored(near_groups(docs, id=id, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(gone, F.col(id) == F.col(name), "left_anti")

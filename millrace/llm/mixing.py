@@ -2,7 +2,7 @@
 
 A source's target is a share of the whole by weight, at most ``most_copies`` times its size; what is over goes to the
 others by weight. A document's expected copies are its source's target over its size; whole copies are certain, and the
-rest is its inclusion probability for one more. Documents are ranked by random odds over inclusion odds, and the first
+rest is its inclusion probability for one more. With odds, expectations are in proportion to them, up to the limit. Documents are ranked by random odds over inclusion odds, and the first
 ones whose words make up the rest of the target are taken once more.
 """
 
@@ -58,7 +58,7 @@ def mixed(
 
     Size is the number of words (null text: 0). Sources in code point order, null last, get ``weights`` in turn and share
     ``total`` times all words. ``odds`` names a column of positive weights that make a document's expected copies more or
-    fewer than its source's mean (null or not positive counts as 1). Equal draws are ordered by id, size and content, so
+    fewer than its source's mean (null or not positive counts as 1); what exceeds ``most_copies`` is reshared inside the source. Equal draws are ordered by id, size and content, so
     reruns agree; of repeated rows any may be the one that is taken, the result is the same. Rows without words are never
     taken. A null id is a key like any other. Other columns aren't read, an empty table gives an empty result.
     """
@@ -89,13 +89,37 @@ def _sized(docs, passed, id, text, source, weights, total, most_copies, odds) ->
     """Rows with their sizes, and the targets of their sources."""
     rows = stored(_rows(docs, passed, id, text, source, odds))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("_wish")).alias("_wished"))
-    return rows, stored(source_targets(sizes, weights, total, most_copies))
+    targets = stored(source_targets(sizes, weights, total, most_copies))
+    rated = targets.withColumn("_rate", F.col("target") / F.when(F.col("_wished") > 0, F.col("_wished"))).drop("_wished")
+    return rows, (stored(_reshared(rows, rated, most_copies)) if odds else rated)
+
+
+def _reshared(rows: DataFrame, targets: DataFrame, most_copies: int) -> DataFrame:
+    """``targets`` with the rate of expected copies per wish at which a source's expectations, none above ``most_copies``, sum up
+    to its target.
+
+    What documents at the limit can't take raises the rate of the others, which may bring more of them there: until no
+    rate changes, a sum per source each time.
+    """
+    while True:
+        rates = targets.select(F.col("source").alias("_source"), "_rate")
+        here = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
+        full = F.col("_wish") * F.col("_rate") >= F.lit(float(most_copies))
+        sums = here.groupBy("_source").agg(
+            F.sum(F.when(full, F.col("size")).otherwise(F.lit(0))).alias("_full"),
+            F.sum(F.when(full, F.lit(0.0)).otherwise(F.col("size") * F.col("_wish"))).alias("_open"),
+        )
+        left = F.col("target") - F.lit(float(most_copies)) * F.col("_full")
+        rate = F.when((F.col("_full") > 0) & (F.col("_open") > 0), left / F.col("_open")).otherwise(F.col("_rate"))
+        found = stored(targets.join(sums, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_next", rate))
+        targets = found.select(*[c for c in targets.columns if c != "_rate"], F.greatest("_rate", "_next").alias("_rate"))
+        if found.where("_next > _rate").isEmpty():
+            return targets
 
 
 def _ranked(rows: DataFrame, targets: DataFrame, most_copies: int, seed: str) -> DataFrame:
     """The rows with what is sure of them (``_sure`` copies) and their rank for one more (null: no chance of one)."""
-    rate = F.col("target") / F.when(F.col("_wished") > 0, F.col("_wished"))
-    expected = F.least(F.coalesce(rate * F.col("_wish"), F.lit(0.0)), F.lit(float(most_copies)))
+    expected = F.least(F.coalesce(F.col("_rate") * F.col("_wish"), F.lit(0.0)), F.lit(float(most_copies)))
     chance = F.col("_expected") - F.col("_sure")
     draw = uniform(seed, F.col("doc_id"))
     # in logarithms, so that odds near 0 or without bound stay in order
@@ -143,9 +167,13 @@ def mix(
     Once the last row that is taken is known per source, each row is decided where it is read: no text is shuffled.
     """
     place = ["_file", "_row"]
-    read = with_place(docs).withColumn("_whole", F.struct(*docs.columns))
-    rows, targets = _sized(read, place, id, text, source, weights, total, most_copies, odds)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    named = {"_id": id, "_text": text, "_source": source} | ({"_odds": odds} if odds else {})
+    read = with_place(docs.select(whole, *[F.col(c).alias(n) for n, c in named.items()]))
+    names = "_id", "_text", "_source"
+    own = "_odds" if odds else None
+    rows, targets = _sized(read, place, *names, weights, total, most_copies, own)
     cuts = _cuts(stored(_ranked(rows, targets, most_copies, seed)), targets, place)
-    again = _ranked(_rows(read, [*place, "_whole"], id, text, source, odds), stored(targets.join(cuts, "source_no")), most_copies, seed)
+    again = _ranked(_rows(read, [*place, "_whole"], *names, own), stored(targets.join(cuts, "source_no")), most_copies, seed)
     copies = again.withColumn("_n", _copies(place).cast("int")).where("_n > 0")
     return copies.select("_whole", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_time")).select("_whole.*")

@@ -114,7 +114,9 @@ def _(spark, sf_dir):
 
 @query("op10_mixing", twins.MIXING)
 def _(spark, sf_dir):
-    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    # documents of 500 characters or more are wanted twice as much as shorter ones of their source
+    docs = table(spark, sf_dir, "documents").withColumn("odds", F.when(F.col("n_chars") >= 500, 2.0).otherwise(1.0))
+    return mixed(docs, odds="odds").select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op11_merkle_manifest", twins.MERKLE)

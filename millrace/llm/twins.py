@@ -86,28 +86,41 @@ FROM r
 MIXING = f"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size,
+         CASE WHEN n_chars >= 500 THEN 2.0 ELSE 1.0 END::DOUBLE AS wish,
          (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS draw
   FROM documents
 ),
-s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, sum(size * wish) AS wished, coalesce(sum(size) FILTER (wish = 2), 0)::BIGINT AS long_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source
+),
 w AS (SELECT *, [3.0, 1.0, 2.0][(n - 1) % 3 + 1]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM s),
 l AS (
   SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM w WINDOW o AS (ORDER BY cap / weight, n)
 ),
-t AS (SELECT source, n, source_size, least(weight * max(level) OVER (), cap) AS target FROM l),
+t AS (SELECT source, n, source_size, wished, long_size, least(weight * max(level) OVER (), cap) AS target FROM l),
+-- long documents reach two copies first; what they can't take goes to the short ones
+q AS (
+  SELECT *, CASE WHEN wished > 0 THEN target / wished END AS first_rate,
+         CASE WHEN 2 * target / nullif(wished, 0) >= 2 AND long_size > 0 AND source_size > long_size
+              THEN greatest(target / wished, (target - 2.0::DOUBLE * long_size) / (source_size - long_size)::DOUBLE)
+              ELSE target / nullif(wished, 0) END AS rate FROM t
+),
 e AS (
-  SELECT doc_id, size, source_size, target, n, draw, coalesce(least(target / nullif(source_size, 0)::DOUBLE, 2.0::DOUBLE), 0) AS expected
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+  SELECT doc_id, size, source_size, target, n, draw, coalesce(least(rate * wish, 2.0::DOUBLE), 0) AS expected
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+),
+o AS (
+  SELECT *, expected - floor(expected) AS chance, expected > floor(expected) AND size > 0 AS line,
+         sum(floor(expected) * size) OVER (PARTITION BY n) AS given FROM e
 ),
 r AS (
-  SELECT *, expected > floor(expected) AND size > 0 AS line,
-         sum(size) OVER (PARTITION BY n, expected > floor(expected) AND size > 0 ORDER BY draw, doc_id, size) AS upto
-  FROM e
+  SELECT *, CASE WHEN line THEN sum(size) OVER (PARTITION BY n, line ORDER BY draw / (1 - draw) / (chance / (1 - chance)), doc_id, size) END AS upto FROM o
 )
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
-       (size * (floor(expected) + (line AND upto - size / 2 <= target - floor(expected) * source_size)::INT))::BIGINT AS taken
+       (size * (floor(expected) + coalesce(line AND upto - size / 2 <= target - given, FALSE)::INT))::BIGINT AS taken
 FROM r
 """
 
