@@ -8,7 +8,8 @@ text writer ends each value with a line feed, the last of the four bytes that en
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +81,10 @@ def records(heads: DataFrame, kept: DataFrame, date: str) -> DataFrame:
     return heads.join(kept, "digest", "left").select(value.alias("value"))
 
 
+#: Payload bytes up to which records share files, and how many of them: no file gets much above 256 MB.
+SHARED = ((2**18, 1000), (2**23, 32))
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -89,26 +94,44 @@ def write_archives(
     payload: str = "html",
     min_bytes: int = 1000,
     date: str = "2024-01-01T00:00:00Z",
-    records_per_file: int = 1000,
+    shared: Sequence[tuple[int, int]] = SHARED,
 ) -> None:
     """Write a record per row of ``pages`` below ``folder``.
 
     Null payloads are empty, a null url has no target line, a null id no id line. Of equal payloads of ``min_bytes`` or
     more, the record with the greatest id is the response and the others revisit it (repeated rows with that id are all
-    responses); a payload whose rows all lack an id is written in full each time. Other columns aren't read. An empty
-    table leaves archives without records.
+    responses); a payload whose rows all lack an id is written in full each time. Files are bounded by bytes: records go
+    into files with others of their size class, as many to a file as ``shared`` says (largest payload, records), and
+    those above all classes have a file each. Other columns aren't read. An empty table leaves archives without records.
     """
     heads = headers(pages, id, url, payload)
-    kept = stored(originals(heads.drop("body", "url"), min_bytes))
-    writer = records(heads, kept, date).write.option("lineSep", "\n").option("maxRecordsPerFile", str(records_per_file))
-    writer.text(folder)
+    known = stored(heads.drop("body", "url"))
+    kept = stored(originals(known, min_bytes))
+    least = 0
+    for most, records_per_file in (*shared, (2**31, 1)):
+        own = (F.col("bytes") >= least) & (F.col("bytes") < most)
+        # classes without rows aren't read for; the first is written in any case, so that there is an archive
+        if least == 0 or not known.where(own).isEmpty():
+            writer = records(heads.where(own), kept, date).write.option("lineSep", "\n").option("maxRecordsPerFile", str(records_per_file))
+            writer.text(f"{folder}/below-{most}")
+        least = most
+
+
+_BLANK_LINE = re.compile(rb"\r\n\r\n")
+
+
+def _blank_line(data: memoryview, start: int, end: int) -> int:
+    found = _BLANK_LINE.search(data, start, end)
+    if found is None:
+        raise ValueError(f"no header ends after byte {start}")
+    return found.start()
 
 
 def _parsed(content: memoryview) -> Iterator[tuple]:
-    at, data = 0, bytes(content)
+    at, data = 0, memoryview(content)
     while at < len(data):
-        cut = data.index(b"\r\n\r\n", at)
-        lines = data[at:cut].decode("utf-8").split("\r\n")
+        cut = _blank_line(data, at, len(data))
+        lines = str(data[at:cut], "utf-8").split("\r\n")
         if lines[0] != "WARC/1.1":
             raise ValueError(f"no record starts at byte {at}")
         head = dict(x.split(": ", 1) for x in lines[1:])
@@ -116,15 +139,15 @@ def _parsed(content: memoryview) -> Iterator[tuple]:
         end = start + int(head["Content-Length"])
         if data[end : end + 4] != b"\r\n\r\n":
             raise ValueError(f"the record at byte {at} doesn't end where its length says")
-        body = data.index(b"\r\n\r\n", start, end) + 4
+        body = _blank_line(data, start, end) + 4
         page, refers = head.get("X-Page"), head.get("X-Refers-To-Page")
         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
         if head["WARC-Type"] == "response":
             size = end - body
-            if hashlib.sha1(memoryview(data)[body:end]).hexdigest() != digest:
+            if hashlib.sha1(data[body:end]).hexdigest() != digest:
                 raise ValueError(f"the payload of the record at byte {at} doesn't have its digest")
         else:
-            http = dict(x.split(": ", 1) for x in data[start : body - 4].decode("utf-8").split("\r\n")[1:])
+            http = dict(x.split(": ", 1) for x in str(data[start : body - 4], "utf-8").split("\r\n")[1:])
             size = int(http["Content-Length"])
         yield (
             int(page) if page else None,
@@ -150,7 +173,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types, strict=True)], names=names)
 
-    return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(parse, RECORD)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("content").mapInArrow(parse, RECORD)
 
 
 def archived(pages: DataFrame, **names: str) -> DataFrame:

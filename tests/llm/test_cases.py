@@ -14,7 +14,7 @@ from millrace.llm.quality import cleaned, line_quality
 from millrace.llm.repeats import without_repeats
 from millrace.llm.shards import materialised
 from millrace.llm.urls import Rule, judged_urls
-from millrace.llm.warc import archived
+from millrace.llm.warc import archived, read_archives, write_archives
 
 PROSE = "One two three four five six seven eight nine ten eleven twelve."
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -159,6 +159,16 @@ def test_warc(spark):
     found = sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in archived(pages).collect()), key=repr)
     assert found == sorted([(1, 1000, "revisit", 2), (2, 1000, "response", None), (2, 1000, "response", None), (0, 1000, "revisit", 2), (3, 108, "response", None), (4, 0, "response", None), (5, 2, "response", None)], key=repr)
     assert archived(pages.where("false")).isEmpty()
+    tiny = ((10, 3), (500, 2))
+    assert sorted(((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in archived(pages, shared=tiny).collect()), key=repr) == found
+
+
+def test_warc_files_are_bounded_by_bytes(spark, folder):
+    pages = spark.createDataFrame([(n, "u", f"{n}" * (2_000_000 if n < 3 else 10)) for n in range(10)], "page_id bigint, url string, html string").coalesce(1)
+    write_archives(pages, folder("warc"), shared=((1000, 4), (1_000_000, 2)))
+    files = [r.length for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder("warc")).select("length").collect()]
+    assert sorted(n > 2_000_000 for n in files) == [False, False, True, True, True] and max(files) < 2_100_000
+    assert {(r.page_id, r.payload_bytes) for r in read_archives(spark, folder("warc")).collect()} == {(n, 2_000_000 if n < 3 else 10) for n in range(10)}
 
 
 def test_chat(spark):
