@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's workers, once per application, so that they find it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = Path(__file__).resolve().parent
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='millrace-')}/millrace", "zip", package.parent, package.name))
+        _shipped.add(app)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
