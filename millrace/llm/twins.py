@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm.quality import NOTICES
+from millrace.llm.quality import ENDS, NOTICES
 from millrace.llm.text import GAP, LOWER, UPPER
 
 _WORDS = "list_filter(string_split_regex({0}, '" + GAP + "'), lambda w: w <> '')"
@@ -23,23 +23,39 @@ starts AS (
 repeats AS (
   SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM starts, range(3) AS r(k) WHERE found > 1 GROUP BY doc_id
 ),
+given AS (
+  SELECT doc_id, unnest(string_split(t, chr(10))) AS x, unnest(range(len(string_split(t, chr(10))))) AS i FROM d
+),
+broken AS (
+  SELECT doc_id, i, x, NOT coalesce(
+      length(lag(x) OVER lines_of) >= 40
+      AND NOT regexp_matches(lag(x) OVER lines_of, '[{ENDS}]["''”’»)\]]{{0,3}}[ \t\r]{{0,2}}$')
+      AND regexp_matches(x, '^[\p{{Ll}}\p{{Lo}}]'), false) AS new_line
+  FROM given WINDOW lines_of AS (PARTITION BY doc_id ORDER BY i)
+),
+joined AS (
+  SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS x
+  FROM (SELECT doc_id, i, x, sum(new_line::INT) OVER (PARTITION BY doc_id ORDER BY i) AS line FROM broken)
+  GROUP BY doc_id, line
+),
 lines AS (
-  SELECT doc_id, x, greatest(len(wx), 1) AS n, wx FROM (
-    SELECT doc_id, x, {_WORDS.format("x")} AS wx FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
-  ) WHERE len(wx) > 0
+  SELECT doc_id, x, greatest(len(wx), 1) AS n, wx FROM (SELECT doc_id, x, {_WORDS.format("x")} AS wx FROM joined) WHERE len(wx) > 0
 ),
 judged AS (
   SELECT doc_id, x,
-    (NOT regexp_matches(right(trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 4), '[.!?…。！？]["''”’»)\]]*$')
-      AND (n < 8 OR NOT regexp_matches(x, '[.!?…。！？]["''”’»)\]]*\s')))
+    (NOT regexp_matches(right(trim(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 4), '[{ENDS}]["''”’»)\]]*$')
+      AND (n < 8 OR NOT regexp_matches(x, '[{ENDS}]["''”’»)\]]*\s')))
     OR len(regexp_extract_all(x, '[#*$%&<>]{{2,}}')) > n * 0.1
     OR len(regexp_extract_all(x, '!!')) > n * 0.2
     OR len(list_filter(wx, lambda w: w IN ('|', '»', '›', '•', '·'))) >= n * 0.15
     OR (n <= 25 AND regexp_matches(lower(x), '{NOTICES}')) AS bad
   FROM lines
 ),
+copies AS (
+  SELECT doc_id, count(*) - count(DISTINCT x) AS dup FROM given WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
 per_doc AS (
-  SELECT doc_id, count(*) - count(DISTINCT x) AS dup, sum(length(x)) AS chars,
+  SELECT doc_id, sum(length(x)) AS chars,
          coalesce(sum(length(x)) FILTER (NOT bad), 0) AS kept_chars, count(*) FILTER (bad) AS removed
   FROM judged GROUP BY doc_id
 ),
@@ -52,7 +68,7 @@ base AS (
          coalesce(kept_chars, 0)::BIGINT AS kept_chars,
          coalesce(removed, 0)::BIGINT AS n_lines_removed,
          coalesce(chars, 0) AS chars
-  FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN per_doc USING (doc_id)
+  FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN per_doc USING (doc_id) LEFT JOIN copies USING (doc_id)
 )
 SELECT * EXCLUDE (chars), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND kept_chars >= chars * 0.5 AS kept

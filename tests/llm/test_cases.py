@@ -52,6 +52,20 @@ def test_quality_lines(spark):
     assert [r.text for r in cleaned(df).collect()] == [prose]
 
 
+def test_quality_of_other_scripts_and_wrapped_lines(spark):
+    hindi = "\n".join(" ".join(f"{w}{i}" for w in "यह वाक्य और इसमें कुछ साधारण शब्द".split()) + " हैं।" for i in range(20))
+    urdu = "\n".join(" ".join(f"{w}{i}" for w in "یہ جملہ اور اس میں کچھ الفاظ".split()) + " ہیں۔" for i in range(20))
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    wrapped = "\n".join(" ".join(words[i : i + 10]) for i in range(0, 200, 10)) + "."
+    endless = wrapped[:-1]  # wrapped, but never a sentence
+    menu = "\n".join(" ".join(f"Topic{i}{j}" for j in range(9)) for i in range(20))
+    given = [(1, hindi), (2, urdu), (3, wrapped), (4, endless), (5, menu), (6, f"{wrapped}\n{menu[:80]}"), (7, f"Menu\nhome\n{wrapped}")]
+    found = {r.doc_id: r for r in line_quality(spark.createDataFrame(given, "doc_id bigint, text string"), clean="clean").collect()}
+    assert [i for i in found if found[i].kept] == [1, 2, 3, 6, 7]
+    assert found[1].clean == hindi and found[2].clean == urdu and all(found[i].clean == wrapped for i in (3, 6, 7))
+    assert found[3].n_lines_removed == 0 and found[7].n_lines_removed == 2
+
+
 def test_exact(docs, none):
     found = sorted(((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in exact_dedup(docs).collect()), key=repr)
     assert found == sorted(

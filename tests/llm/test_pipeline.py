@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ from test_brute import groups, word_sets
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm.quality import NOTICES
+from millrace.llm.quality import ENDS, NOTICES
 from millrace.session import new_folder
 
 SMALL = "/root/testdata/sf0.001"
@@ -40,9 +41,9 @@ def as_counts(rows):
 
 def fails(line):
     n, end = len(WORD.findall(line)), line.strip(GAP)[-4:]
-    unended = not re.search("[.!?…。！？][\"'”’»)\\]]*$", end)
+    unended = not re.search(f"[{ENDS}][\"'”’»)\\]]*$", end)
     return (
-        (unended and (n < 8 or not re.search("[.!?…。！？][\"'”’»)\\]]*[\x20\x09-\x0D]", line)))
+        (unended and (n < 8 or not re.search(f"[{ENDS}][\"'”’»)\\]]*[\x20\x09-\x0D]", line)))
         or len(re.findall(r"[#*$%&<>]{2,}", line)) > n * 0.1
         or line.count("!!") > n * 0.2
         or sum(w in "|»›•·" for w in WORD.findall(line)) >= n * 0.15
@@ -50,6 +51,18 @@ def fails(line):
     )
 
 
+def judged_lines(text):
+    out = []
+    for line in text.split("\n"):
+        before = out[-1].split("\n")[-1] if out else ""
+        ended = re.search(f"[{ENDS}][\"'”’»)\\]]{{0,3}}[ \t\r]{{0,2}}$", before)
+        if len(before) >= 40 and not ended and unicodedata.category((line or " ")[0]) in ("Ll", "Lo"):
+            out[-1] += "\n" + line
+        else:
+            out.append(line)
+    return [x for x in out if WORD.search(x)]
+
+
 def test_quality(stages):
     before, after = stages["quality"]
     expected = []
@@ -57,7 +70,7 @@ def test_quality(stages):
         words = WORD.findall(r["text"])
         found = Counter(zip(words, words[1:], words[2:], strict=False))
         repeats = {i + k for i in range(len(words) - 2) if found[tuple(words[i : i + 3])] > 1 for k in range(3)}
-        lines = [x for x in r["text"].split("\n") if WORD.search(x)]
+        lines = judged_lines(r["text"])
         left = [x for x in lines if not fails(x)]
         if len(words) >= 50 and 2 * len(repeats) <= len(words) and 2 * sum(map(len, left)) >= sum(map(len, lines)):
             expected.append(r | {"text": "\n".join(left), "n_chars": len("\n".join(left))})
