@@ -36,6 +36,7 @@ from millrace.sources.versions import BucketedTable
 from millrace.streaming.bounded import until
 from millrace.streaming.dimension import dimension_tables, maintaining
 from millrace.streaming.feed import ChangeFeed, into_history
+from millrace.streaming.figures import RunningStats
 from millrace.streaming.ingest import (
     BATCH,
     STREAM,
@@ -97,6 +98,18 @@ def _(spark, sf_dir):
     return newest_batch(spark, out, stats.schema)
 
 
+@query("stream_running_stats", "STM-12 AGG-08", STATS_SQL)
+def _(spark, sf_dir):
+    landing, out, mark = (new_folder(spark, n) for n in ("landing", "running", "mark"))
+    source = ticks(spark, sf_dir)
+    stats = RunningStats(spark, out, source.schema["symbol"], "price")
+    early = F.col("timestamp") < ntz("2024-01-15 00:00:00")
+    for part in (source.where(early), source.where(~early)):  # the second batch is added to the figures of the first
+        _write_ticks(part, landing)
+        drain(batch_sink(file_stream(spark, landing, _TICK), stats.writer()), mark)
+    return stats.read()
+
+
 # messages as a topic hands them out: key, value, partition, offset
 _MESSAGE = "key string, value string, partition int, offset bigint"
 

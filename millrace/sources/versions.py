@@ -6,7 +6,10 @@ cost a task retry. What a table consists of is said by a log of one line per com
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,46 +20,90 @@ from millrace.operators.history import apply_scd2
 from millrace.session import stored
 
 
+class State(NamedTuple):
+    """What a log says: sequence number of the newest line, versions, buckets, keys, and whether the batch asked for is in it."""
+
+    seq: int = -1
+    newest: int = -1
+    current: int | None = None
+    last_alive: int | None = None
+    places: list[int | None] | None = None
+    keys: list[str] | None = None
+    actions: tuple[str, ...] = ()
+    done: bool = False
+
+
 class CommitLog:
     """One line per commit: sequence number, version in force after it (null = none), action, batch.
 
-    A bucketed table's line also says in which commit's folder the rows of each bucket lie, and its key columns.
+    A bucketed table's line also says in which commit's folder the rows of each bucket lie, and its key columns. A line
+    repeats what is still true of earlier ones, so only the newest is read, however many there are: lines lie in folders
+    by pairs of digits of their number, and the newest is found by listing a few folders of at most a hundred names. A batch
+    is found by a mark in a folder of its own; the mark is written before the line and counts only if that line has its id.
     """
 
-    SCHEMA = "seq bigint, version bigint, action string, batch string, at timestamp, places array<bigint>, keys array<string>"
+    SCHEMA = (
+        "seq bigint, version bigint, action string, batch string, at timestamp, newest bigint, last_alive bigint, "
+        "places array<bigint>, keys array<string>, actions array<string>, id string"
+    )
+    MARK = "seq bigint, action string, batch string, id string"
+    PAIRS = 5
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
-    def read(self) -> DataFrame:
+    def _read(self, folder: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(self.SCHEMA).json(self.folder)
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).json(folder)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], self.SCHEMA)
-
-    def state(self, action: str = "", batch: str | None = None):
-        """What the log says, as one row however long it is; ``done`` tells whether the action (any, if empty) ran for the batch."""
-        alive = F.col("version").isNotNull()
-        same = (F.col("batch") == F.lit(batch)) & ((F.lit(action) == "") | (F.col("action") == action))
-        return (
-            self.read()
-            .agg(
-                F.coalesce(F.max("seq"), F.lit(-1)).alias("seq"),
-                F.coalesce(F.max("version"), F.lit(-1)).alias("newest"),
-                F.max_by("version", "seq").alias("current"),
-                F.max_by("version", F.when(alive, F.col("seq"))).alias("last_alive"),
-                F.max_by("places", "seq").alias("places"),
-                F.max_by("keys", "seq").alias("keys"),
-                F.coalesce(F.bool_or(same), F.lit(False)).alias("done"),
-            )
-            .first()
-        )
+            return self.spark.createDataFrame([], schema)
+
+    def read(self) -> DataFrame:
+        """All lines."""
+        return self._read(f"{self.folder}/lines", self.SCHEMA)
+
+    def _line_folder(self, seq: int) -> str:
+        digits = f"{seq:0{2 * self.PAIRS}d}"
+        return "/".join([f"{self.folder}/lines", *(digits[i : i + 2] for i in range(0, len(digits), 2))])
+
+    def _mark_folder(self, batch: str) -> str:
+        return f"{self.folder}/batches/{hashlib.sha256(batch.encode()).hexdigest()}"
+
+    def _names(self, folder: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sorted((s.getPath().getName() for s in files.listStatus(path)), reverse=True) if files.exists(path) else []
+
+    def newest_folder(self, folder: str | None = None, pairs: int = 0) -> str | None:
+        """Folder of the newest line; one whose write was broken off has no file yet and doesn't count."""
+        folder = folder or f"{self.folder}/lines"
+        names = self._names(folder)
+        if pairs == self.PAIRS:
+            return folder if any(name.startswith("part-") for name in names) else None
+        return next(filter(None, (self.newest_folder(f"{folder}/{name}", pairs + 1) for name in names)), None)
+
+    def state(self, action: str = "", batch: str | None = None) -> State:
+        """What the log says; ``done`` tells whether the action (any, if empty) ran for the batch."""
+        folder = self.newest_folder()
+        if folder is None:
+            return State()
+        line = self._read(folder, self.SCHEMA).first()
+        done = batch is not None and self._done(action, batch)
+        return State(line.seq, line.newest, line.version, line.last_alive, line.places, line.keys, tuple(line.actions), done)
+
+    def _done(self, action: str, batch: str) -> bool:
+        # one mark per action and try
+        for mark in self._read(self._mark_folder(batch), self.MARK).where(F.col("batch") == batch).collect():
+            line = self._read(self._line_folder(mark.seq), self.SCHEMA).first()
+            if action in ("", mark.action) and line is not None and line.id == mark.id:
+                return True
+        return False
 
     def has(self, action: str) -> bool:
-        return not self.read().where(F.col("action") == action).isEmpty()
+        return action in self.state().actions
 
     def note(
         self,
@@ -67,15 +114,20 @@ class CommitLog:
         places: Sequence[int | None] = (),
         keys: Sequence[str] = (),
     ) -> None:
-        line = self.spark.range(1).select(
-            F.lit(seq).cast("bigint").alias("seq"),
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(action).alias("action"),
-            F.lit(batch).cast("string").alias("batch"),
-            F.current_timestamp().alias("at"),
-            *([F.array(*[F.lit(c).cast("bigint") for c in places]).alias("places"), F.array(*[F.lit(k) for k in keys]).alias("keys")] if places else []),
-        )
-        line.coalesce(1).write.mode("append").json(self.folder)
+        before, one = self.state(), self.spark.range(1)
+        named = {"seq": F.lit(seq).cast("bigint"), "action": F.lit(action), "batch": F.lit(batch).cast("string"), "id": F.lit(uuid.uuid4().hex)}
+        if batch is not None:
+            one.select(*[c.alias(name) for name, c in named.items()]).coalesce(1).write.mode("append").json(self._mark_folder(batch))
+        lists = {"places": list(places) or before.places, "keys": list(keys) or before.keys, "actions": sorted({*before.actions, action})}
+        kinds = {"places": "bigint", "keys": "string", "actions": "string"}
+        named |= {
+            "version": F.lit(version).cast("bigint"),
+            "at": F.current_timestamp(),
+            "newest": F.lit(max(before.newest, -1 if version is None else version)).cast("bigint"),
+            "last_alive": F.lit(before.last_alive if version is None else version).cast("bigint"),
+            **{name: F.array(*[F.lit(v).cast(kinds[name]) for v in values]) for name, values in lists.items() if values},
+        }
+        one.select(*[c.alias(name) for name, c in named.items()]).coalesce(1).write.mode("overwrite").json(self._line_folder(seq))
 
 
 class VersionedTable:
@@ -180,7 +232,10 @@ class BucketedTable:
         rows = self.spark.read.schema(self._stored).option("basePath", self.folder).parquet(*paths)
         return rows.where("_live").select(*self.schema.names)
 
-    def replace(self, rows: DataFrame, only: Sequence[int] | None = None) -> None:
+    def has_batch(self, batch: str) -> bool:
+        return self.log.state(batch=batch).done
+
+    def replace(self, rows: DataFrame, only: Sequence[int] | None = None, batch: str | None = None) -> None:
         """Put the rows, which may be made from the table's own, in place of the given (by default all) buckets.
 
         A bucket may take a third of the rows: the rebalance lets AQE split it over several files.
@@ -195,13 +250,15 @@ class BucketedTable:
         places = list(state.places or [None] * self.buckets)
         for bucket in replaced:
             places[bucket] = commit
-        self.log.note(commit, "replace all" if only is None else "replace", places=places, keys=self.keys)
+        self.log.note(commit, "replace all" if only is None else "replace", batch=batch, places=places, keys=self.keys)
 
-    def change(self, batch: DataFrame, merge: Callable[[DataFrame], DataFrame]) -> None:
-        """Rewrite the buckets of the batch's keys with what ``merge`` makes of their rows."""
-        only = self.touched(batch)
+    def change(self, rows: DataFrame, merge: Callable[[DataFrame], DataFrame], batch: str | None = None) -> None:
+        """Rewrite the buckets of the rows' keys with what ``merge`` makes of theirs; a batch that is in the log is left out."""
+        if batch is not None and self.has_batch(batch):
+            return
+        only = self.touched(rows)
         if only:
-            self.replace(merge(self.read(only)), only)
+            self.replace(merge(self.read(only)), only, batch)
 
     def unused(self) -> DataFrame:
         """Folders of earlier commits that no bucket points to any more, one row ``folder`` each."""
