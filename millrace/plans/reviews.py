@@ -11,7 +11,7 @@ from millrace.functions.numbers import as_double
 from millrace.plans.registry import query
 from millrace.plans.tables import table
 from millrace.session import new_folder
-from millrace.sinks.files import narrow, save_distributed, write_clustered, write_parquet, write_partitioned
+from millrace.sinks.files import narrow, save_distributed, write_clustered, write_interleaved, write_parquet, write_partitioned
 from millrace.sources.files import read_partitioned
 from millrace.sources.tables import create_database
 
@@ -72,6 +72,19 @@ def _(spark, sf_dir):
     return spark.read.schema(REVIEW_SCHEMA).parquet(folder)
 
 
+@query(
+    "interleaved_reviews",
+    "TBL-19",
+    f"SELECT * FROM ({_REVIEWS_SQL}) WHERE year = 1995",
+)
+def _(spark, sf_dir):
+    folder = new_folder(spark, "reviews-interleaved")
+    reviews = narrow(_reviews(spark, sf_dir), {c: "int" for c in ("star_rating", "helpful_votes", "total_votes", "year")})
+    write_interleaved(reviews, folder, ["product_id", "year"])
+    # skips files by the second column
+    return spark.read.schema(REVIEW_SCHEMA).parquet(folder).where("year = 1995")
+
+
 def _bucketed_reviews(spark, sf_dir, database: str) -> DataFrame:
     create_database(spark, database, new_folder(spark, "reviews-db"))
     save_distributed(_reviews(spark, sf_dir), f"{database}.reviews", "product_id", "year", 8)

@@ -38,6 +38,41 @@ def write_clustered(df: DataFrame, folder: str, cluster: str, sort: str) -> None
     df.repartitionByRange(cluster, sort).sortWithinPartitions(cluster, sort).write.mode("overwrite").parquet(folder)
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """Key that orders rows by all the columns alike: the bits of their ranks, taken in turn from the highest down.
+
+    A rank says between which of ``2 ** bits - 1`` quantiles a value lies; quantiles come from one pass with mergeable
+    sketches. Columns are numbers, dates or timestamps; a null (or NaN) ranks with the least.
+    """
+
+    def number(column: str) -> Column:
+        kind = df.schema[column].dataType.typeName()
+        whole = F.unix_date(column) if kind == "date" else F.unix_micros(F.col(column).cast("timestamp")) if kind.startswith("timestamp") else F.col(column)
+        return F.nanvl(whole.cast("double"), F.lit(None).cast("double"))
+
+    cuts = df.agg(*[F.percentile_approx(number(c), [i / 2**bits for i in range(1, 2**bits)], 10_000).alias(c) for c in columns]).first()
+    key = F.lit(0).cast("bigint")
+    for place, column in enumerate(columns):
+        sorted_cuts = F.array(*[F.lit(cut) for cut in cuts[column] or [0.0]])
+        rank = F.coalesce(F.size(F.filter(sorted_cuts, lambda cut: cut <= number(column))), F.lit(0))
+        for bit in range(bits):
+            key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint"), bit * len(columns) + len(columns) - 1 - place)
+    return key
+
+
+def write_interleaved(df: DataFrame, folder: str, columns: Sequence[str], files: int | None = None) -> None:
+    """Files that hold a small range of every column, so that scans can skip files by any of them, not by the first only.
+
+    Reads the frame twice (quantiles, then rows) and shuffles it once. ``files`` fixes their number; else Spark sizes them.
+    Rows of one hot combination have one place; the hash of their other columns deals them to several files.
+    """
+    place = interleaved(df, columns)
+    others = [f.name for f in df.schema if f.name not in columns and f.dataType.typeName() not in ("map", "variant")]
+    by = [place, *map(F.col, columns), *([F.xxhash64(*others)] if others else [])]
+    ranges = df.repartitionByRange(*by) if files is None else df.repartitionByRange(files, *by)
+    ranges.sortWithinPartitions(place, *columns).write.mode("overwrite").parquet(folder)
+
+
 def save_distributed(df: DataFrame, table: str, key: str, sort: str, buckets: int) -> None:
     """Catalog table hashed into buckets by ``key`` and sorted inside them: joins and sums on the key need no shuffle.
 

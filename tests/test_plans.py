@@ -2,13 +2,15 @@
 
 import re
 
+import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from millrace.plans.catalog import QUERIES
 from millrace.plans.retail import retail
-from millrace.sinks.files import save_distributed
+from millrace.sinks.files import save_distributed, write_interleaved
 from millrace.sources.html import table_rows
 
 
@@ -91,3 +93,32 @@ def test_pages_are_parsed_in_arrow_batches(spark):
 def test_bucketed_table_has_one_file_per_bucket(spark):
     save_distributed(spark.range(4000).repartition(20).withColumn("k", F.col("id") % 100), "few_files", "k", "id", 8)
     assert len(spark.table("few_files").inputFiles()) <= 8
+
+
+def test_files_can_be_skipped_by_either_column(spark, folder):
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    reviews = lines.select(F.col("l_partkey").alias("product_id"), F.year("l_shipdate").alias("year"), F.col("l_shipdate").alias("day"), "l_orderkey", "l_linenumber")
+    write_interleaved(reviews, folder("z"), ["product_id", "year"], files=16)
+    bounds = []
+    for file in ds.dataset(folder("z")).files:
+        group = pq.read_metadata(file).row_group(0)
+        by_name = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
+        bounds.append(by_name)
+    most, first, last = reviews.agg(F.max("product_id"), F.min("year"), F.max("year")).first()
+    assert len(bounds) == 16 and spark.read.parquet(folder("z")).exceptAll(reviews).isEmpty()
+    for column, value in (("year", first), ("year", last), ("year", 1995), ("product_id", most // 2), ("product_id", most // 5)):
+        opened = sum(b[column].min <= value <= b[column].max for b in bounds)
+        assert 1 <= opened < 8, (column, value, opened)
+
+
+def test_interleaving_takes_dates_nulls_and_one_hot_value(spark, folder):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, 7).alias("k"), F.expr("if(id % 5 = 0, double('NaN'), double(id))").alias("x"),
+        F.expr("date_add(date'2024-01-01', cast(id % 50 as int))").alias("d"), "id", F.expr("map(1, id)").alias("m"),
+    )
+    write_interleaved(rows, folder("z"), ["k", "d", "x"], files=8)
+    back = spark.read.parquet(folder("z"))
+    assert back.count() == 4000 and back.select(F.countDistinct("id")).first()[0] == 4000
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) < 1200
+    write_interleaved(rows.where("false"), folder("none"), ["k", "d"])
+    assert spark.read.schema(rows.schema).parquet(folder("none")).isEmpty()
