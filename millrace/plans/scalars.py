@@ -20,8 +20,10 @@ from millrace.functions.times import from_epoch_seconds, ntz, parse_date, second
 from millrace.operators.aggregate import occurring_once, occurring_repeatedly
 from millrace.operators.ordered import with_identity
 from millrace.operators.profile import QUARTILES, column_profile, non_null_counts
+from millrace.operators.sketches import add_profile, merged_profile
 from millrace.plans.registry import query
 from millrace.plans.tables import table
+from millrace.session import new_folder
 from millrace.sources.tables import bound_query
 
 # ---------------------------------------------------------------- whole-table figures
@@ -77,6 +79,25 @@ def _(spark, sf_dir):
     return column_profile(table(spark, sf_dir, "lineitem"), _PROFILED)
 
 
+@query(
+    "load_profiles",
+    "AGG-19 DQ-07",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT({c}) AS n_values,
+            CAST(min({c}) AS DOUBLE) + CAST(0 AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) + CAST(0 AS DOUBLE) AS max FROM lineitem"""
+        for c in _PROFILED
+    ),
+)
+def _(spark, sf_dir):
+    # a load per line status, added up; the estimates beside these exact figures are tested apart
+    folder = new_folder(spark, "profiles")
+    lines = table(spark, sf_dir, "lineitem")
+    shipped = F.col("l_linestatus").eqNullSafe("F")
+    for load, part in (("shipped", lines.where(shipped)), ("open", lines.where(~shipped))):
+        add_profile(part, _PROFILED, load, folder)
+    return merged_profile(spark, folder).select("column_name", "n_rows", "n_values", "min", "max")
+
+
 @query(
     "non_null_profile",
     "DQ-07 AGG-19",
