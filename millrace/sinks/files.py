@@ -38,11 +38,13 @@ def write_clustered(df: DataFrame, folder: str, cluster: str, sort: str) -> None
     df.repartitionByRange(cluster, sort).sortWithinPartitions(cluster, sort).write.mode("overwrite").parquet(folder)
 
 
-def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Key that orders rows by all the columns alike: the bits of their ranks, taken in turn from the highest down.
+def interleaved(df: DataFrame, columns: Sequence[str], name: str, bits: int = 6) -> DataFrame:
+    """The frame with the key ``name`` that orders rows by all the columns alike: the bits of their ranks, taken in turn from the highest down.
 
     A rank says between which of ``2 ** bits - 1`` quantiles a value lies; quantiles come from one pass with mergeable
-    sketches. Columns are numbers, dates or timestamps; a null (or NaN) ranks with the least.
+    sketches. Columns are numbers, dates or timestamps; a null (or NaN) ranks with the least. A rank is found by halving,
+    a comparison and a projection per bit. The key is a column, not an expression: a sort evaluates expressions at every
+    comparison of two rows.
     """
 
     def number(column: str) -> Column:
@@ -51,26 +53,37 @@ def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
         return F.nanvl(whole.cast("double"), F.lit(None).cast("double"))
 
     cuts = df.agg(*[F.percentile_approx(number(c), [i / 2**bits for i in range(1, 2**bits)], 10_000).alias(c) for c in columns]).first()
+    values, ranks = [f"{name}_value_{place}" for place in range(len(columns))], [f"{name}_rank_{place}" for place in range(len(columns))]
+    ranked = df.withColumns(dict(zip(values, map(number, columns)))).withColumns({rank: F.lit(0) for rank in ranks})
+    for bit in reversed(range(bits)):
+        step = 2**bit
+
+        def above(column: str, value: str, rank: str) -> Column:
+            sorted_cuts = F.array(*[F.lit(cut) for cut in cuts[column] or [0.0]])
+            return F.col(rank) + F.when(F.get(sorted_cuts, F.col(rank) + step - 1) <= F.col(value), step).otherwise(0)
+
+        ranked = ranked.withColumns({rank: above(column, value, rank) for column, value, rank in zip(columns, values, ranks)})
     key = F.lit(0).cast("bigint")
-    for place, column in enumerate(columns):
-        sorted_cuts = F.array(*[F.lit(cut) for cut in cuts[column] or [0.0]])
-        rank = F.coalesce(F.size(F.filter(sorted_cuts, lambda cut: cut <= number(column))), F.lit(0))
+    for place, rank in enumerate(ranks):
         for bit in range(bits):
             key = key + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("bigint"), bit * len(columns) + len(columns) - 1 - place)
-    return key
+    return ranked.withColumn(name, key).drop(*values, *ranks)
 
 
 def write_interleaved(df: DataFrame, folder: str, columns: Sequence[str], files: int | None = None) -> None:
     """Files that hold a small range of every column, so that scans can skip files by any of them, not by the first only.
 
-    Reads the frame twice (quantiles, then rows) and shuffles it once. ``files`` fixes their number; else Spark sizes them.
-    Rows of one hot combination have one place; the hash of their other columns deals them to several files.
+    Reads the frame three times (quantiles, Spark's sample for the ranges, then rows) and shuffles it once. ``files`` fixes
+    their number; else Spark sizes them. Rows of one hot combination have one place; the hash of their other columns deals
+    them to several files.
     """
-    place = interleaved(df, columns)
+    # more leading underscores than any column has, so it is a name of its own
+    place = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in df.columns)) + "place"
     others = [f.name for f in df.schema if f.name not in columns and f.dataType.typeName() not in ("map", "variant")]
-    by = [place, *map(F.col, columns), *([F.xxhash64(*others)] if others else [])]
-    ranges = df.repartitionByRange(*by) if files is None else df.repartitionByRange(files, *by)
-    ranges.sortWithinPartitions(place, *columns).write.mode("overwrite").parquet(folder)
+    by = [place, *columns, *([F.xxhash64(*others)] if others else [])]
+    placed = interleaved(df, columns, place)
+    ranges = placed.repartitionByRange(*by) if files is None else placed.repartitionByRange(files, *by)
+    ranges.sortWithinPartitions(place, *columns).drop(place).write.mode("overwrite").parquet(folder)
 
 
 def save_distributed(df: DataFrame, table: str, key: str, sort: str, buckets: int) -> None:

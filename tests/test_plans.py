@@ -1,6 +1,8 @@
 """Physical plans: what is pushed down, pruned, broadcast and shuffled."""
 
 import re
+from bisect import bisect_right
+from math import inf, isnan, nan
 
 import pyarrow.dataset as ds
 import pyarrow.parquet as pq
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.catalog import QUERIES
 from millrace.plans.retail import retail
-from millrace.sinks.files import save_distributed, write_interleaved
+from millrace.sinks.files import interleaved, save_distributed, write_interleaved
 from millrace.sources.html import table_rows
 
 
@@ -122,3 +124,31 @@ def test_interleaving_takes_dates_nulls_and_one_hot_value(spark, folder):
     assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) < 1200
     write_interleaved(rows.where("false"), folder("none"), ["k", "d"])
     assert spark.read.schema(rows.schema).parquet(folder("none")).isEmpty()
+
+
+def test_interleaving_sorts_by_a_column_made_once_per_row(spark, folder, monkeypatch):
+    frame, made = type(spark.range(0)), []
+    sort = frame.sortWithinPartitions
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *by: made.append(sort(self, *by)) or made[-1])
+    rows = spark.range(500).select("id", (F.col("id") % 7).alias("k"), (F.col("id") % 50).alias("_place"))
+    write_interleaved(rows, folder("z"), ["id", "k"], files=4)
+    text = plan(made[0])
+    keys = re.search(r"Sort \[(.*?)\], false", text)[1]
+    assert all(re.fullmatch(r"\w+#\d+L? ASC NULLS FIRST", key) for key in keys.split(", ")), keys
+    assert "lambda" not in text
+    back = spark.read.parquet(folder("z"))
+    assert back.columns == rows.columns and back.exceptAll(rows).isEmpty() and rows.exceptAll(back).isEmpty()
+
+
+def test_interleaved_key_is_made_of_the_bits_of_the_ranks(spark):
+    values = [None, nan, -inf, inf, -1.5, 0.0, *[2.5] * 40, *map(float, range(3, 120))]
+    rows = spark.createDataFrame([(x, None if i % 9 == 0 else i * i % 31, None) for i, x in enumerate(values)], "x double, n int, e date")
+    shares = [i / 64 for i in range(1, 64)]
+    cuts = rows.agg(*[F.percentile_approx(F.expr(c), shares, 10_000) for c in ("nanvl(x, null)", "double(n)")]).first()
+
+    def rank(sorted_cuts, value):
+        return 0 if value is None or isnan(value) else bisect_right(sorted_cuts, value)
+
+    for r in interleaved(rows, ["x", "n", "e"], "key").collect():
+        x, n = rank(cuts[0], r.x), rank(cuts[1], r.n)
+        assert r.key == int("".join(a + b + "0" for a, b in zip(f"{x:06b}", f"{n:06b}")), 2), r
