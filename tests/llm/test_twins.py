@@ -8,7 +8,7 @@ from conftest import SF_DIR
 
 from millrace.llm.queries import QUERIES
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
