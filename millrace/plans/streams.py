@@ -53,7 +53,7 @@ from millrace.streaming.ingest import (
     rows_read,
     write_batch,
 )
-from millrace.streaming.rotation import rotated, stateful_session, writing_files
+from millrace.streaming.rotation import read_files, rotated, stateful_session, writing_files
 from millrace.streaming.windows import setting_late_aside, window_counts
 
 _TICK = "tick_id bigint, symbol string, price double, timestamp timestamp_ntz"
@@ -314,17 +314,16 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Files of 100 records per symbol; what is left over waits for two seconds. Full files come in event order."""
     landing, main, mark = (new_folder(spark, n) for n in ("landing", "rotated", "mark"))
-    in_order = ticks(spark, sf_dir).select(F.col("symbol").alias("key"), row_json("tick_id", "price").alias("value"), "tick_id")
-    in_order.coalesce(1).sortWithinPartitions("tick_id").drop("tick_id").write.json(landing)
+    ticks(spark, sf_dir).select(F.col("symbol").alias("key"), row_json("tick_id", "price").alias("value")).write.json(landing)
     session = stateful_session(spark, partitions=4)
     stream = file_stream(session, landing, "key string, value string")
-    running = keep_running(batch_sink(rotated(stream, 100, seconds=2.0), writing_files(main)), mark, every="1 second")
+    order = F.get_json_object("value", "$.tick_id").cast("bigint")
+    running = keep_running(batch_sink(rotated(stream, 100, seconds=2.0, order=order), writing_files(main)), mark, every="1 second")
     try:
         until(session, running, idle=4.0)
     finally:
         running.stop()
-    files = spark.read.schema("reason string, value string, key string, file_no bigint").json(main)
-    named = files.withColumn("id", F.get_json_object("value", "$.tick_id").cast("bigint"))
+    named = read_files(spark, main).withColumn("id", F.get_json_object("value", "$.tick_id").cast("bigint"))
     return named.groupBy("key", "reason").agg(
         F.count_distinct("file_no").alias("n_files"), F.count(F.lit(1)).alias("n_records"), F.sum("id").alias("id_sum")
     )
