@@ -28,6 +28,7 @@ from millrace.streaming.ingest import BatchWriter
 ROTATED = "key string, file_no bigint, reason string, value string"
 _RUN_BYTES = 64 << 20
 _FIRST = -(2**63)
+_NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -176,7 +177,7 @@ _ESCAPED = {c: f"%{c:02X}" for c in (*range(1, 32), *map(ord, "\"#%'*/:=?\\{[]^"
 
 def folder_value(key: str | None, encoding: str) -> str:
     """A text as Spark names it in a partition's folder, where Java writes file names in the encoding."""
-    return key.translate(_ESCAPED).encode(encoding, "replace").decode(encoding) if key else "__HIVE_DEFAULT_PARTITION__"
+    return key.translate(_ESCAPED).encode(encoding, "replace").decode(encoding) if key else _NO_KEY
 
 
 def _put(folder: str, key: str | None, file_no: int, lines: Sequence[str], encoding: str) -> None:
@@ -226,12 +227,24 @@ def writing_files(folder: str) -> BatchWriter:
     return write
 
 
+def _unescaped(text: Column) -> Column:
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(reason, value, key, file_no) of all rotated files. Their folders are listed by a few tasks per core, not by one task each."""
+    """(reason, value, key, file_no) of all rotated files, as a read of the partitioned folder gives them.
+
+    The folders are listed by a few tasks per core, not by one task each. Key and number are taken from the paths: the driver
+    would infer partitions in a time that grows with the square of the number of folders.
+    """
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(name)
     spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
     try:
-        return spark.read.schema("reason string, value string, key string, file_no bigint").json(folder)
+        files = spark.read.schema("reason string, value string").option("recursiveFileLookup", True).json(folder)
     finally:
         spark.conf.set(name, before)
+    place = [F.regexp_extract("_metadata.file_path", r"/key=([^/]*)/file_no=(\d+)/[^/]*$", k) for k in (1, 2)]
+    # a path is told as in a web address, and the folder's name is escaped itself
+    key = _unescaped(_unescaped(F.when(place[0] != _NO_KEY, place[0])))
+    return files.select("reason", "value", key.alias("key"), place[1].cast("bigint").alias("file_no"))

@@ -15,7 +15,7 @@ from millrace.streaming.ingest import file_stream, keep_running
 from millrace.streaming.rotation import folder_value, in_order, read_files, rotated, stateful_session, writing_files
 
 FILES = "key string, file_no bigint, reason string, value string"
-KEYS = ["a", "", None, "x=1/2:3", "50% [b] {c} ^#?*'\"\\", " end ", "tab\tline\n", "7"]
+KEYS = ["a", "", None, "x=1/2:3", "50% [b] {c} ^#?*'\"\\", " end ", "tab\tline\n", "7", "a+b %2B", "%41"]
 
 
 def test_full_files_keep_event_order_when_the_sort_by_key_spills(spark, folder):
